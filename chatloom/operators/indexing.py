@@ -11,35 +11,53 @@ partitioned, so a lost executor recomputes the same positions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.functions.keys import hash_bucket
+
 RANGE_BUCKETS = 32768
 
+# Adds a ``_bucket`` column that never decreases along the order.
+Bucketing = Callable[[DataFrame], DataFrame]
+
 
 def order_struct(order_by: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order_by])
 
 
-def count_up_to(bounds: Column, key: Column) -> Column:
-    """How many of the sorted ``bounds`` (at most 131071) are at or before ``key``."""
+def with_count_up_to(
+    df: DataFrame, bounds: Column, order_by: Sequence[str], out: str
+) -> DataFrame:
+    """Add how many of the sorted ``bounds`` (at most 131071) are at or before the row.
+
+    A binary search in 17 steps. ``bounds`` is a scalar subquery, which may not
+    be written inside a lambda; as a column referenced once it is merged back
+    into the search and never copied into the rows.
+    """
     steps = F.array(*[F.lit(2**i) for i in range(16, -1, -1)])
-    return F.aggregate(
+    key = order_struct(order_by)
+    found = F.aggregate(
         steps,
         F.lit(0),
-        lambda at, step: F.when(F.get(bounds, at + step - 1) <= key, at + step).otherwise(at),
-    ).cast("bigint")
+        lambda at, step: at
+        + F.when(F.get(F.col("_bounds"), at + step - 1) <= key, step).otherwise(0),
+    )
+    return (
+        df.withColumn("_bounds", bounds).withColumn(out, found.cast("bigint")).drop("_bounds")
+    )
 
 
-def range_bucket(df: DataFrame, order_by: Sequence[str], buckets: int = RANGE_BUCKETS) -> Column:
-    """Bucket number that grows with ``order_by``, of any orderable type.
+def range_buckets(
+    df: DataFrame, order_by: Sequence[str], buckets: int = RANGE_BUCKETS
+) -> Bucketing:
+    """Buckets that grow with ``order_by``, of any orderable type.
 
     Bounds are about ``buckets`` distinct keys picked by hash, so they follow the
     data's distribution; a leading column with a hot value is split by the
-    columns after it. Any bounds give exact positions, only balance varies. The
-    bounds are one small array in a scalar subquery, searched in 17 steps.
+    columns after it. Any bounds give exact positions, only balance varies.
     """
     keys = df.select(order_struct(order_by).alias("k"))
     stride = keys.agg(
@@ -47,7 +65,19 @@ def range_bucket(df: DataFrame, order_by: Sequence[str], buckets: int = RANGE_BU
     ).scalar()
     picked = keys.where(F.pmod(F.xxhash64("k"), stride) == 0).groupBy("k").agg(F.lit(1))
     bounds = picked.agg(F.array_sort(F.collect_list("k")).alias("b")).scalar()
-    return count_up_to(bounds, order_struct(order_by))
+    return lambda rows: with_count_up_to(rows, bounds, order_by, "_bucket")
+
+
+def key_buckets(key: str = "_key") -> Bucketing:
+    """Buckets from the leading hex digits of a hash key: equal by construction."""
+    return lambda rows: rows.withColumn("_bucket", hash_bucket(key))
+
+
+def value_buckets(column: str, width: int) -> Bucketing:
+    """Buckets of ``width`` consecutive integer values."""
+    return lambda rows: rows.withColumn(
+        "_bucket", F.floor(F.col(column) / F.lit(width)).cast("bigint")
+    )
 
 
 def _same_group(by: Sequence[str]) -> list[Column]:
@@ -55,18 +85,19 @@ def _same_group(by: Sequence[str]) -> list[Column]:
 
 
 def bucket_totals(
-    df: DataFrame, bucket: Column, by: Sequence[str] = (), value: Column | None = None
+    df: DataFrame, bucketing: Bucketing, by: Sequence[str] = (), value: Column | None = None
 ) -> DataFrame:
     """Per group and bucket: total and exclusive running offset.
 
     Without groups the window sees one row per bucket, a number fixed by the
-    bucket function and not by the data.
+    bucketing and not by the data.
     """
-    total = F.count(F.lit(1)) if value is None else F.sum(value)
+    if value is None:
+        value = F.lit(1)
     totals = (
-        df.select(*by, bucket.alias("_bucket"), *([] if value is None else [value.alias("_v")]))
+        bucketing(df.withColumn("_value", value))
         .groupBy(*by, "_bucket")
-        .agg((F.count(F.lit(1)) if value is None else F.sum("_v")).alias("_total"))
+        .agg(F.sum("_value").alias("_total"))
     )
     w = Window.partitionBy(*by).orderBy("_bucket")
     before = F.sum("_total").over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -82,17 +113,16 @@ def bucket_totals(
 def running_total(
     df: DataFrame,
     order_by: Sequence[str],
-    bucket: Column,
+    bucketing: Bucketing,
     out: str,
     by: Sequence[str] = (),
     value: Column | None = None,
 ) -> DataFrame:
     """Inclusive running sum of ``value`` (of 1 when not given) in exact order."""
-    keyed = df.withColumn("_bucket", bucket)
-    totals = bucket_totals(df, bucket, by, value)
+    totals = bucket_totals(df, bucketing, by, value)
     if not by:
         totals = F.broadcast(totals)
-    joined = keyed.join(totals, [*_same_group(by), F.col("_bucket") == F.col("_b")])
+    joined = bucketing(df).join(totals, [*_same_group(by), F.col("_bucket") == F.col("_b")])
     w = Window.partitionBy(*by, "_bucket").orderBy(*order_by)
     inside = (
         F.row_number().over(w)
@@ -105,35 +135,37 @@ def running_total(
 
 
 def global_index(
-    df: DataFrame, order_by: Sequence[str], bucket: Column | None = None, out: str = "idx"
+    df: DataFrame,
+    order_by: Sequence[str],
+    bucketing: Bucketing | None = None,
+    out: str = "idx",
 ) -> DataFrame:
     """Add the 0-based position of every row: one wide shuffle, no global sort."""
-    if bucket is None:
-        bucket = range_bucket(df, order_by)
-    return running_total(df, order_by, bucket, out).withColumn(out, F.col(out) - 1)
+    bucketing = bucketing or range_buckets(df, order_by)
+    return running_total(df, order_by, bucketing, out).withColumn(out, F.col(out) - 1)
 
 
-def block_starts(df: DataFrame, order_by: Sequence[str], block_rows: Column) -> Column:
-    """Order keys of every ``block_rows``-th row, as a sorted array.
+def with_blocks(
+    df: DataFrame, order_by: Sequence[str], block_rows: Column, out: str = "_block"
+) -> DataFrame:
+    """Add the number of the block of ``block_rows`` consecutive rows a row is in.
 
-    Only the order columns are indexed. The caller picks ``block_rows`` so that
-    the number of blocks is bounded.
+    Only the order columns are indexed to find the blocks' first rows; the wide
+    rows are looked up against those, without a shuffle. The caller picks
+    ``block_rows`` so that the number of blocks is bounded.
     """
     positions = global_index(df.select(*order_by), order_by, out="_pos")
     firsts = positions.where(F.pmod(F.col("_pos"), block_rows) == 0)
-    return firsts.agg(F.array_sort(F.collect_list(order_struct(order_by))).alias("s")).scalar()
-
-
-def block_of(starts: Column, order_by: Sequence[str]) -> Column:
-    """Number of the block a row falls into."""
-    return count_up_to(starts, order_struct(order_by)) - 1
+    starts = firsts.agg(F.array_sort(F.collect_list(order_struct(order_by))).alias("s"))
+    found = with_count_up_to(df, starts.scalar(), order_by, out)
+    return found.withColumn(out, F.col(out) - 1)
 
 
 def rank_cutoff(
     df: DataFrame,
     n: int | Column,
     order_by: Sequence[str],
-    bucket: Column | None = None,
+    bucketing: Bucketing | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """The order key of the n-th row (of the last row, when there are fewer).
@@ -143,10 +175,9 @@ def rank_cutoff(
     cut falls into, collapsed by key before it is shuffled. Keys that tie across
     the cut are an error, since no cut-off could keep exactly ``n`` rows.
     """
-    if bucket is None:
-        bucket = range_bucket(df, order_by)
+    bucketing = bucketing or range_buckets(df, order_by)
     n = F.lit(n) if isinstance(n, int) else n
-    edge = bucket_totals(df, bucket, by).where(
+    edge = bucket_totals(df, bucketing, by).where(
         (F.col("_offset") < n) & ((n <= F.col("_offset") + F.col("_total")) | F.col("_last"))
     )
     edge = edge.select(
@@ -154,11 +185,12 @@ def rank_cutoff(
         "_b",
         F.least(n - F.col("_offset"), F.col("_total")).alias("_want"),
     )
-    keys = df.select(*by, order_struct(order_by).alias("_k"), bucket.alias("_bucket"))
     # One row per group: proven small only without groups.
     small = edge if by else F.broadcast(edge)
     hits = (
-        keys.join(small, [*_same_group(by), F.col("_bucket") == F.col("_b")])
+        bucketing(df)
+        .select(*by, order_struct(order_by).alias("_k"), "_bucket")
+        .join(small, [*_same_group(by), F.col("_bucket") == F.col("_b")])
         .groupBy(*by, "_k", "_want")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -187,10 +219,10 @@ def first_rows(
     df: DataFrame,
     n: int | Column,
     order_by: Sequence[str],
-    bucket: Column | None = None,
+    bucketing: Bucketing | None = None,
 ) -> DataFrame:
     """Exactly the first ``n`` rows in order; wide rows are filtered, not shuffled."""
-    cutoff = rank_cutoff(df, n, order_by, bucket).select("cutoff").scalar()
+    cutoff = rank_cutoff(df, n, order_by, bucketing).select("cutoff").scalar()
     return df.where(up_to(cutoff, order_by))
 
 
@@ -199,14 +231,14 @@ def first_rows_per_group(
     n: int,
     by: Sequence[str],
     order_by: Sequence[str],
-    bucket: Column | None = None,
+    bucketing: Bucketing | None = None,
 ) -> DataFrame:
     """Exactly the first ``n`` rows of every group.
 
     The cut-off table has one row per group. It is left to the adaptive planner:
     broadcast when measured small, else a shuffle join with skew splitting.
     """
-    cuts = rank_cutoff(df, n, order_by, bucket, by)
+    cuts = rank_cutoff(df, n, order_by, bucketing, by)
     cuts = cuts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("cutoff").alias("_cut"))
     joined = df.join(cuts, _same_group(by))
     return joined.where(order_struct(order_by) <= F.col("_cut")).select(*df.columns)

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.fixed_values import ROWS_PER_SOURCE
-from chatloom.functions.keys import hash_bucket, hash_fraction, order_key
+from chatloom.functions.keys import hash_fraction, order_key
 from chatloom.operators.indexing import (
     first_rows,
     first_rows_per_group,
     global_index,
+    key_buckets,
     rank_cutoff,
     up_to,
 )
@@ -57,7 +58,7 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly ``n`` rows without replacement."""
     keyed = _keyed(df, seed, id, source)
-    return first_rows(keyed, n, ["_key", id], hash_bucket("_key")).drop("_key")
+    return first_rows(keyed, n, ["_key", id], key_buckets()).drop("_key")
 
 
 def sample_to_share(
@@ -102,7 +103,7 @@ def shuffle(
     if isinstance(source, Column):
         keyed = keyed.withColumn("_source", source)
         order = ["_key", "_source", id]
-    return global_index(keyed, order, hash_bucket("_key"), out).drop("_key", "_source")
+    return global_index(keyed, order, key_buckets(), out).drop("_key", "_source")
 
 
 def split_train_eval(
@@ -121,7 +122,7 @@ def split_train_eval(
         F.ceil(F.count(F.lit(1)).cast("double") * F.lit(float(eval_fraction))).alias("n")
     ).scalar()
     order = ["_key", id]
-    cutoff = rank_cutoff(keyed, size, order, hash_bucket("_key")).select("cutoff").scalar()
+    cutoff = rank_cutoff(keyed, size, order, key_buckets()).select("cutoff").scalar()
     held_out = F.coalesce(up_to(cutoff, order), F.lit(False))
     return keyed.withColumn(out, F.when(held_out, "eval").otherwise("train")).drop("_key")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.jsonfmt import parse_json_text, variant_at, variant_list
 from chatloom.functions.text import preview
-from chatloom.operators.indexing import running_total
+from chatloom.operators.indexing import running_total, value_buckets
 from chatloom.schemas import ENTITIES_DDL, ENTITY_FIELDS
 
 REQUIRED_ENTITY_FIELDS = ("mention", "type", "assertion")
@@ -132,9 +132,9 @@ def progress(
     joined with the stretches' offsets, so a job with very many batches does not
     end up in one task.
     """
-    stretch = F.floor(F.col(batch) / F.lit(BATCHES_PER_BUCKET)).cast("bigint")
+    stretches = value_buckets(batch, BATCHES_PER_BUCKET)
     running = running_total(
-        df, [batch], stretch, "accepted_so_far", by=[job], value=F.col(accepted)
+        df, [batch], stretches, "accepted_so_far", by=[job], value=F.col(accepted)
     )
     return running.withColumn("remaining", F.col(total) - F.col("accepted_so_far"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chatloom.fixed_values import SHARD_NAME, SHARD_ROWS
 from chatloom.functions.jsonfmt import entity_json, json_list, json_string
-from chatloom.operators.indexing import block_of, block_starts
+from chatloom.operators.indexing import with_blocks
 
 MAX_BLOCKS = 4096
 
@@ -38,11 +38,10 @@ def assign_shards(
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     per_block = F.greatest(F.lit(1).cast("bigint"), F.ceil(rows / F.lit(MAX_BLOCKS * shard_size)))
     block_rows = (per_block * F.lit(shard_size)).cast("bigint")
-    starts = block_starts(df, order, block_rows)
     w = Window.partitionBy("_block").orderBy(*order)
     idx = F.col("_block") * block_rows + F.row_number().over(w) - 1
     return (
-        df.withColumn("_block", block_of(starts, order))
+        with_blocks(df, order, block_rows)
         .withColumn("idx", idx.cast("bigint"))
         .withColumn("shard", F.expr(f"idx div {shard_size}"))
         .drop("_block")

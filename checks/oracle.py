@@ -344,16 +344,16 @@ piece AS (
   SELECT conv_id, unnest(range(len(pieces))) AS i, unnest(pieces) AS p FROM seg
 ),
 placed AS (
-  SELECT conv_id, i, p, instr(p, {response}) AS at,
+  SELECT conv_id, i, p, instr(p, {response}) AS hit,
     coalesce(sum(length(p) + length({instruction})) OVER (
-      PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+      PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS shift
   FROM piece
 ),
 span AS (
   SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY i) - 1)::BIGINT AS seq,
-    (off + at - 1 + length({response}))::BIGINT AS "start", (off + length(p))::BIGINT AS "end",
-    substr(p, at + length({response})) AS text
-  FROM placed WHERE at > 0
+    (shift + hit - 1 + length({response}))::BIGINT AS "start", (shift + length(p))::BIGINT AS "end",
+    substr(p, hit + length({response})) AS text
+  FROM placed WHERE hit > 0
 )
 """
 
