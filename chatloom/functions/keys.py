@@ -16,7 +16,8 @@ def order_key(seed: int | str, id_col: Column | str, source: Column | str = "")
 
 def hash_bucket(key: Column | str, digits: int = 4) -> Column:
     """Leading hex digits as a number: equal-sized buckets in key order."""
-    return F.conv(F.substring(as_column(key), 1, digits), 16, 10).cast("bigint")
+    number = F.conv(F.substring(as_column(key), 1, digits), 16, 10).cast("bigint")
+    return F.coalesce(number, F.lit(0).cast("bigint"))
 
 
 def hash_fraction(key: Column | str) -> Column:

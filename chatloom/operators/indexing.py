@@ -45,9 +45,9 @@ def with_count_up_to(
         lambda at, step: at
         + F.when(F.get(F.col("_bounds"), at + step - 1) <= key, step).otherwise(0),
     )
-    return (
-        df.withColumn("_bounds", bounds).withColumn(out, found.cast("bigint")).drop("_bounds")
-    )
+    # Never null, so that a join on it needs no null test that repeats the search.
+    found = F.coalesce(found.cast("bigint"), F.lit(0).cast("bigint"))
+    return df.withColumn("_bounds", bounds).withColumn(out, found).drop("_bounds")
 
 
 def range_buckets(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.jsonfmt import json_list, json_string
+from chatloom.functions.text import let
 from chatloom.operators.messages import assemble_conversations
 from chatloom.schemas import ENTITY_FIELDS
 from chatloom.sources.readers import read_table
@@ -23,29 +24,34 @@ def hex_digit(c: Column, pos: int) -> Column:
 
 def raw_entity(ws: Column, doc_id: Column, i: Column) -> Column:
     """Entity at word ``i``, damaged in one way or another by a hash."""
-    h = F.md5(F.concat(doc_id.cast("string"), F.lit(":"), i.cast("string")))
-    c = F.substring(h, 5, 1)
-    pick3 = lambda pos, a, b, d: F.element_at(
-        F.array(F.lit(a), F.lit(b), F.lit(d)), (hex_digit(h, pos) % 3 + 1).cast("int")
-    )
     word = F.get(ws, i)
-    around = F.array_join(F.slice(ws, i - 1, F.lit(7)), " ")
-    before = F.array_join(F.slice(ws, i - 1, F.lit(3)), " ")
-    return F.struct(
-        F.when(c == "0", F.concat(word, F.lit("#"))).otherwise(word).alias("mention"),
-        F.when(c == "1", "Other")
-        .otherwise(pick3(1, "Symptom", "Diagnosis", "Treatment"))
-        .alias("type"),
-        F.when(c == "2", "Unknown")
-        .otherwise(pick3(7, "Positive", "Negated", "Possible"))
-        .alias("assertion"),
-        F.when(c == "3", "")
-        .when(c == "4", before)
-        .when(c == "5", F.concat(F.lit("~"), around))
-        .otherwise(around)
-        .alias("context_window"),
-        c.alias("damage"),
-    )
+
+    def words(first: int, last: int) -> Column:
+        return F.array_join(F.array(*[F.get(ws, i + k) for k in range(first, last + 1)]), " ")
+
+    def pick(h: Column, pos: int, *choices: str) -> Column:
+        options = F.array(*[F.lit(c) for c in choices])
+        return F.get(options, (hex_digit(h, pos) % len(choices)).cast("int"))
+
+    def build(h: Column) -> Column:
+        c = F.substring(h, 5, 1)
+        return F.struct(
+            F.when(c == "0", F.concat(word, F.lit("#"))).otherwise(word).alias("mention"),
+            F.when(c == "1", "Other")
+            .otherwise(pick(h, 1, "Symptom", "Diagnosis", "Treatment"))
+            .alias("type"),
+            F.when(c == "2", "Unknown")
+            .otherwise(pick(h, 7, "Positive", "Negated", "Possible"))
+            .alias("assertion"),
+            F.when(c == "3", "")
+            .when(c == "4", words(-2, 0))
+            .when(c == "5", F.concat(F.lit("~"), words(-2, 4)))
+            .otherwise(words(-2, 4))
+            .alias("context_window"),
+            c.alias("damage"),
+        )
+
+    return let(F.md5(F.concat(doc_id.cast("string"), F.lit(":"), i.cast("string"))), build)
 
 
 def raw_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
