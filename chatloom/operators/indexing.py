@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.keys import hash_bucket
 
 RANGE_BUCKETS = 32768
+BROADCAST_GROUPS = 100_000
 
 # Adds a ``_bucket`` column that never decreases along the order.
 Bucketing = Callable[[DataFrame], DataFrame]
@@ -204,26 +205,25 @@ def rank_cutoff(
     return ranked.where(exact).select(*by, F.col("_k").alias("cutoff"))
 
 
-def up_to(cutoff: Column, order_by: Sequence[str]) -> Column:
-    """Predicate: the row's order key is at or before ``cutoff``.
-
-    The extra test on the leading column says nothing new; it is there because
-    a plain column comparison reaches the file scan and a struct one does not.
-    """
-    lead = F.col(order_by[0])
-    pushable = lead.isNull() | (lead <= cutoff[order_by[0]])
-    return pushable & (order_struct(order_by) <= cutoff)
-
-
 def first_rows(
     df: DataFrame,
     n: int | Column,
     order_by: Sequence[str],
     bucketing: Bucketing | None = None,
 ) -> DataFrame:
-    """Exactly the first ``n`` rows in order; wide rows are filtered, not shuffled."""
-    cutoff = rank_cutoff(df, n, order_by, bucketing).select("cutoff").scalar()
-    return df.where(up_to(cutoff, order_by))
+    """Exactly the first ``n`` rows in order; wide rows are filtered, not shuffled.
+
+    With a single order column the test is a plain comparison, which reaches the
+    file scan and skips row groups beyond the cut.
+    """
+    if isinstance(n, int) and n <= 0:
+        return df.where(F.lit(False))
+    cutoff = rank_cutoff(df, n, order_by, bucketing)
+    if len(order_by) == 1 and isinstance(n, int):
+        lead = F.col(order_by[0])
+        last = cutoff.select(F.col("cutoff")[order_by[0]].alias("last")).scalar()
+        return df.where(lead.isNull() | (lead <= last))
+    return df.where(order_struct(order_by) <= cutoff.select("cutoff").scalar())
 
 
 def first_rows_per_group(
@@ -235,10 +235,14 @@ def first_rows_per_group(
 ) -> DataFrame:
     """Exactly the first ``n`` rows of every group.
 
-    The cut-off table has one row per group. It is left to the adaptive planner:
-    broadcast when measured small, else a shuffle join with skew splitting.
+    The cut-off table has one row per group. Groups are counted first: up to
+    ``BROADCAST_GROUPS`` the table is broadcast and wide rows stay where they
+    are; beyond, it is a shuffle join whose hot groups the adaptive planner splits.
     """
     cuts = rank_cutoff(df, n, order_by, bucketing, by)
     cuts = cuts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("cutoff").alias("_cut"))
+    groups = df.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count()
+    if groups <= BROADCAST_GROUPS:
+        cuts = F.broadcast(cuts)
     joined = df.join(cuts, _same_group(by))
     return joined.where(order_struct(order_by) <= F.col("_cut")).select(*df.columns)

@@ -19,8 +19,8 @@ from chatloom.operators.indexing import (
     first_rows_per_group,
     global_index,
     key_buckets,
+    order_struct,
     rank_cutoff,
-    up_to,
 )
 
 
@@ -122,8 +122,8 @@ def split_train_eval(
         F.ceil(F.count(F.lit(1)).cast("double") * F.lit(float(eval_fraction))).alias("n")
     ).scalar()
     order = ["_key", id]
-    cutoff = rank_cutoff(keyed, size, order, key_buckets()).select("cutoff").scalar()
-    held_out = F.coalesce(up_to(cutoff, order), F.lit(False))
+    cutoff = rank_cutoff(keyed, size, order, key_buckets())
+    held_out = F.coalesce(order_struct(order) <= cutoff.select("cutoff").scalar(), F.lit(False))
     return keyed.withColumn(out, F.when(held_out, "eval").otherwise("train")).drop("_key")
 
 
