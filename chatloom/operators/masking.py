@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.masks import response_span_array, trained_chars
 from chatloom.functions.templates import TEMPLATES, TemplateSpec
+from chatloom.operators.shaping import explode_rows
 
 
 def _parts(spec: TemplateSpec | str) -> tuple[str, str]:
@@ -19,8 +20,8 @@ def response_spans(
 ) -> DataFrame:
     """Trained spans of each text: ids, ``seq``, ``start``, ``end``, ``text``."""
     spans = response_span_array(column, *_parts(spec))
-    rows = df.select(*ids, F.posexplode(spans).alias("seq", "s"))
-    return rows.select(*ids, F.col("seq").cast("bigint").alias("seq"), "s.start", "s.end", "s.text")
+    rows = explode_rows(df, *ids, array=spans, pos="seq", item="s")
+    return rows.select(*ids, "seq", "s.start", "s.end", "s.text")
 
 
 def mask_stats(

@@ -9,6 +9,7 @@ from chatloom.fixed_values import EXTRACTION_SYSTEM_PROMPT, EXTRACTION_USER_PROM
 from chatloom.functions.jsonfmt import entities_json
 from chatloom.functions.templates import fill_template, message
 from chatloom.functions.text import text_or_empty
+from chatloom.operators.shaping import explode_rows
 
 # Role names used by the {from, value} message format.
 SHAREGPT_ROLES = {"human": "user", "gpt": "assistant", "system": "system"}
@@ -145,10 +146,5 @@ def prompt_messages(
 
 def message_rows(df: DataFrame, *ids: str, column: str = "conversations") -> DataFrame:
     """One row per message: ids, ``seq`` (0-based), ``role``, ``content``."""
-    rows = df.select(*ids, F.posexplode(column).alias("seq", "m"))
-    return rows.select(
-        *ids,
-        F.col("seq").cast("bigint").alias("seq"),
-        F.col("m.role").alias("role"),
-        F.col("m.content").alias("content"),
-    )
+    rows = explode_rows(df, *ids, array=column, pos="seq", item="m")
+    return rows.select(*ids, "seq", "m.role", "m.content")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.jsonfmt import parse_json_object, parse_json_text
 from chatloom.functions.text import as_column, remove_prefix, text_or_empty
+from chatloom.operators.shaping import evaluate_once
 from chatloom.schemas import ENTITIES_DDL, ENTITY, ENTITY_FIELDS
 
 
@@ -41,17 +42,15 @@ def parse_annotation_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """
     value = F.col(line)
     row = lines.withColumn("_parsed", parse_json_object(value, "text: STRING, entities: STRING"))
-    entities = entity_list(F.col("_parsed.entities"))
+    row = row.withColumn("_entities", entity_list(F.col("_parsed.entities")))
     other = F.when(parse_json_text(value).isNull(), "not_json").otherwise("not_object")
     defect = F.when(F.col("_parsed").isNull(), other).when(
-        F.col("entities").isNull(), "bad_entities"
+        F.col("_entities").isNull(), "bad_entities"
     )
-    return (
-        row.withColumn("text", text_or_empty("_parsed.text"))
-        .withColumn("entities", entities)
-        .withColumn("defect", defect)
-        .drop("_parsed")
+    parsed = evaluate_once(
+        row, text=text_or_empty("_parsed.text"), entities=F.col("_entities"), defect=defect
     )
+    return parsed.drop("_parsed", "_entities")
 
 
 def normalize_annotations(

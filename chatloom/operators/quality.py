@@ -19,6 +19,7 @@ from chatloom.fixed_values import (
 )
 from chatloom.functions.jsonfmt import variant_list
 from chatloom.functions.text import estimate_length, let, word_count
+from chatloom.operators.shaping import explode_rows
 from chatloom.schemas import ENTITY_FIELDS
 
 ITEM_KEYS = ("text", "entities")
@@ -144,7 +145,7 @@ def label_balance(df: DataFrame, entities: str = "entities") -> DataFrame:
     Pairs are counted first, so the rollup runs over the few distinct pairs. A
     null label with ``level`` above 0 is a subtotal.
     """
-    pairs = df.select(F.explode(entities).alias("e")).select("e.type", "e.assertion")
+    pairs = explode_rows(df, array=entities, pos="_pos", item="e").select("e.type", "e.assertion")
     counts = pairs.groupBy("type", "assertion").agg(F.count(F.lit(1)).alias("c"))
     total = counts.agg(F.sum("c").alias("n")).scalar()
     return (

@@ -51,8 +51,13 @@ def plan_requests(
         "n_requests", F.expr("(total + step - 1) div step")
     )
     size = REQUESTS_PER_CHUNK
-    chunk_starts = F.sequence(F.lit(0).cast("bigint"), F.col("n_requests") - 1, F.lit(size).cast("bigint"))
-    chunks = sized.withColumn("first", F.explode(chunk_starts)).repartition(job, "first")
+    starts = F.sequence(
+        F.lit(0).cast("bigint"), F.col("n_requests") - 1, F.lit(size).cast("bigint")
+    )
+    # A fixed number of partitions: chunk rows are tiny, and the adaptive planner
+    # would merge them into one task before they expand.
+    tasks = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = sized.withColumn("first", F.explode(starts)).repartition(tasks, job, "first")
     last = F.least(F.col("first") + (size - 1), F.col("n_requests") - 1)
     rows = chunks.withColumn("batch_id", F.explode(F.sequence("first", last)))
     remaining = F.col("total") - F.col("batch_id") * F.col("step")

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.jsonfmt import parse_json_text, variant_at, variant_list
-from chatloom.functions.text import preview
+from chatloom.functions.text import let, preview
 from chatloom.operators.indexing import running_total, value_buckets
+from chatloom.operators.shaping import evaluate_once, explode_rows
 from chatloom.schemas import ENTITIES_DDL, ENTITY_FIELDS
 
 REQUIRED_ENTITY_FIELDS = ("mention", "type", "assertion")
@@ -34,32 +35,25 @@ def parse_responses(df: DataFrame, raw: str = "raw", expected: str = "expected")
     Status: ``not_json``, ``no_items`` (no object, or no such key),
     ``items_not_list``, ``ok``. A wrong number of items is only flagged.
     """
-    parsed = df.withColumn("_doc", parse_json_text(F.col(raw)))
+    document = df.withColumn("_doc", parse_json_text(F.col(raw)))
+    document = document.withColumn("_items", variant_list(F.col("_doc"), "$.items"))
     object_like = F.col(raw).rlike("^\\s*\\{")
-    parsed = parsed.withColumn("items", variant_list(F.col("_doc"), "$.items"))
     status = (
         F.when(F.col("_doc").isNull(), "not_json")
         .when(~object_like | variant_at(F.col("_doc"), "$.items").isNull(), "no_items")
-        .when(F.col("items").isNull(), "items_not_list")
+        .when(F.col("_items").isNull(), "items_not_list")
         .otherwise("ok")
     )
+    parsed = evaluate_once(document, status=status, items=F.col("_items")).drop("_doc", "_items")
     n_items = F.when(F.col("status") == "ok", F.size("items").cast("bigint"))
-    return (
-        parsed.withColumn("status", status)
-        .withColumn("n_items", n_items)
-        .withColumn(
-            "count_mismatch", F.coalesce(F.col("n_items") != F.col(expected), F.lit(False))
-        )
-        .drop("_doc")
-    )
+    mismatch = F.coalesce(F.col("n_items") != F.col(expected), F.lit(False))
+    return parsed.withColumn("n_items", n_items).withColumn("count_mismatch", mismatch)
 
 
 def explode_items(parsed: DataFrame, *ids: str) -> DataFrame:
     """One row per item of an accepted response: ids, ``item_pos``, ``item``."""
-    rows = parsed.where(F.col("status") == "ok").select(
-        *ids, F.posexplode("items").alias("item_pos", "item")
-    )
-    return rows.withColumn("item_pos", F.col("item_pos").cast("bigint"))
+    usable = parsed.where(F.col("status") == "ok")
+    return explode_rows(usable, *ids, array="items", pos="item_pos", item="item")
 
 
 def item_errors(item: Column, entities: Column) -> Column:
@@ -105,20 +99,32 @@ def validate_annotations(items: DataFrame, item: str = "item") -> DataFrame:
             ]
         )
 
-    empty = F.array().cast(ENTITIES_DDL)
+    checked = items.withColumn("_entities", variant_list(v, "$.entities"))
+    checked = evaluate_once(checked, errors=item_errors(v, F.col("_entities")))
+    valid = F.size("errors") == 0
+    entities = F.coalesce(F.transform("_entities", clean), F.array().cast(ENTITIES_DDL))
     return (
-        items.withColumn("_entities", variant_list(v, "$.entities"))
-        .withColumn("errors", item_errors(v, F.col("_entities")))
-        .withColumn("valid", F.size("errors") == 0)
-        .withColumn("text", F.when(F.col("valid"), F.try_variant_get(v, "$.text", "string")))
-        .withColumn(
-            "entities",
-            F.when(F.col("valid"), F.coalesce(F.transform("_entities", clean), empty)),
-        )
+        checked.withColumn("valid", valid)
+        .withColumn("text", F.when(valid, F.try_variant_get(v, "$.text", "string")))
+        .withColumn("entities", F.when(valid, entities))
         .drop("_entities")
     )
 
 
+def count_accepted(parsed: DataFrame, out: str = "accepted") -> DataFrame:
+    """Add the number of valid items per response (0 for a rejected one).
+
+    Counted inside the row: no explode, no grouping, no join back.
+    """
+
+    def valid(item: Column) -> Column:
+        return let(variant_list(item, "$.entities"), lambda es: F.size(item_errors(item, es)) == 0)
+
+    n = F.size(F.filter("items", valid)).cast("bigint")
+    usable = (F.col("status") == "ok") & F.col("items").isNotNull()
+    return evaluate_once(parsed, **{out: F.when(usable, n).otherwise(F.lit(0).cast("bigint"))})
+
+
 def progress(
     df: DataFrame,
     job: str = "job_id",
@@ -128,7 +134,8 @@ def progress(
 ) -> DataFrame:
     """Accepted so far and items remaining, per job in batch order.
 
-    Remaining may go below zero. Sums run inside stretches of batches and are
+    Remaining may go below zero. The input is read twice, so store counts that
+    are costly to get. Sums run inside stretches of batches and are
     joined with the stretches' offsets, so a job with very many batches does not
     end up in one task.
     """

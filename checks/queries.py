@@ -16,6 +16,7 @@ from chatloom.operators import lengths, masking, messages, mixing, normalize, qu
 from chatloom.operators import requests as req
 from chatloom.operators import responses as resp
 from chatloom.operators.rendering import map_batches, render_conversations
+from chatloom.operators.shaping import explode_rows
 from chatloom.plans.generation import accepted_annotations, rejected_items
 from chatloom.plans.training_text import (
     annotation_training_text,
@@ -158,8 +159,8 @@ def normalize_entities_dict(spark, sf):
 
 @query
 def normalize_entity_fields(spark, sf):
-    rows = _normalized(spark, sf).select("doc_id", F.posexplode("entities").alias("seq", "e"))
-    return rows.select("doc_id", big("seq").alias("seq"), "e.*")
+    rows = explode_rows(_normalized(spark, sf), "doc_id", array="entities", pos="seq", item="e")
+    return rows.select("doc_id", "seq", "e.*")
 
 
 @query
@@ -528,16 +529,8 @@ def rejected_item_rows(spark, sf):
 
 @query
 def generation_progress(spark, sf):
-    items = resp.explode_items(_parsed(spark, sf), "resp_id")
-    accepted = resp.validate_annotations(items).groupBy("resp_id").agg(
-        F.count_if("valid").alias("accepted")
-    )
-    ids = inputs.responses(spark, sf).select("resp_id", "job_id", "batch_id")
-    counted = ids.join(accepted, "resp_id", "left").select(
-        "job_id",
-        "batch_id",
-        F.coalesce("accepted", F.lit(0)).alias("accepted"),
-        F.lit(100).cast("bigint").alias("total"),
+    counted = resp.count_accepted(_parsed(spark, sf)).select(
+        "job_id", "batch_id", "accepted", F.lit(100).cast("bigint").alias("total")
     )
     return resp.progress(counted)
 

@@ -112,6 +112,7 @@ def test_response_gates(responses):
 
 def test_quarantine_and_retry(spark, responses):
     parsed = resp.parse_responses(responses)
+    assert sum(r.accepted for r in resp.count_accepted(parsed).collect()) == 4
     bad = {r.batch_id: (r.reason, r.raw_preview) for r in resp.quarantine(parsed, "batch_id").collect()}
     assert set(bad) == {2, 3, 4, 5, 6, 8, 9, 11, 12} and bad[2] == ("not_json", "no json")
     wanted = spark.createDataFrame([(1, b) for b in range(1, 15)], "job_id BIGINT, batch_id BIGINT")
@@ -146,6 +147,7 @@ def test_validation(spark):
     assert clean[1].entities == [] and tuple(clean[10].entities[0]) == ("m", "T", "P", "")
     assert all(r.text is None and r.entities is None for r in rows if not r.valid)
     assert accepted_annotations(df, "batch_id").count() == 3
+    assert resp.count_accepted(resp.parse_responses(df)).first().accepted == 3
     assert rejected_items(df, "batch_id").count() == 9
 
 
