@@ -29,6 +29,11 @@ def order_struct(order_by: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order_by])
 
 
+def order_value(order_by: Sequence[str]) -> Column:
+    """What bounds are compared with: the plain column where there is just one."""
+    return F.col(order_by[0]) if len(order_by) == 1 else order_struct(order_by)
+
+
 def with_count_up_to(
     df: DataFrame, bounds: Column, order_by: Sequence[str], out: str
 ) -> DataFrame:
@@ -36,10 +41,11 @@ def with_count_up_to(
 
     A binary search in 17 steps. ``bounds`` is a scalar subquery, which may not
     be written inside a lambda; as a column referenced once it is merged back
-    into the search and never copied into the rows.
+    into the search and never copied into the rows. (Seventeen chained columns
+    would be compiled, but into a method too long for the JIT.)
     """
+    key = order_value(order_by)
     steps = F.array(*[F.lit(2**i) for i in range(16, -1, -1)])
-    key = order_struct(order_by)
     found = F.aggregate(
         steps,
         F.lit(0),
@@ -60,7 +66,8 @@ def range_buckets(
     data's distribution; a leading column with a hot value is split by the
     columns after it. Any bounds give exact positions, only balance varies.
     """
-    keys = df.select(order_struct(order_by).alias("k"))
+    # Missing values come first in the order and so belong to the first bucket.
+    keys = df.select(order_value(order_by).alias("k")).where(F.col("k").isNotNull())
     stride = keys.agg(
         F.greatest(F.lit(1), (F.count(F.lit(1)) / F.lit(buckets)).cast("bigint")).alias("m")
     ).scalar()
@@ -157,7 +164,7 @@ def with_blocks(
     """
     positions = global_index(df.select(*order_by), order_by, out="_pos")
     firsts = positions.where(F.pmod(F.col("_pos"), block_rows) == 0)
-    starts = firsts.agg(F.array_sort(F.collect_list(order_struct(order_by))).alias("s"))
+    starts = firsts.agg(F.array_sort(F.collect_list(order_value(order_by))).alias("s"))
     found = with_count_up_to(df, starts.scalar(), order_by, out)
     return found.withColumn(out, F.col(out) - 1)
 
