@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chatloom.functions.text import as_column, split_literal
+from chatloom.functions.text import as_column, let, split_literal
 
+BLOCK = 256
 SPANS_DDL = "ARRAY<STRUCT<start: BIGINT, end: BIGINT, text: STRING>>"
 
 
@@ -18,12 +19,15 @@ def response_span_array(
     A span runs from the end of a response header to the next instruction
     header or the end of the text. A second response header before the next
     instruction belongs to the open span. Offsets count characters, since
-    tokenization happens elsewhere. One pass over the pieces of one text.
+    tokenization happens elsewhere.
+
+    Spans are gathered in blocks of pieces: appending to one ever longer list
+    would be quadratic in the number of turns.
     """
     gap, lead = len(instruction_part), len(response_part)
-    zero = F.struct(
-        F.lit(0).cast("bigint").alias("pos"), F.array().cast(SPANS_DDL).alias("spans")
-    )
+
+    def gathered(pos: Column) -> Column:
+        return F.struct(pos.alias("pos"), F.array().cast(SPANS_DDL).alias("spans"))
 
     def step(acc: Column, piece: Column) -> Column:
         at = F.instr(piece, response_part)
@@ -40,8 +44,24 @@ def response_span_array(
             .alias("spans"),
         )
 
-    pieces = split_literal(text, instruction_part)
-    return F.aggregate(pieces, zero, step, lambda acc: acc["spans"])
+    def blocks(pieces: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1)), F.lit(BLOCK))
+        return F.transform(starts, lambda at: F.slice(pieces, at, F.lit(BLOCK)))
+
+    def add_block(acc: Column, block: Column) -> Column:
+        return let(
+            F.aggregate(block, gathered(acc["pos"]), step),
+            lambda got: F.struct(
+                got["pos"].alias("pos"), F.concat(acc["spans"], got["spans"]).alias("spans")
+            ),
+        )
+
+    return F.aggregate(
+        let(split_literal(text, instruction_part), blocks),
+        gathered(F.lit(0).cast("bigint")),
+        add_block,
+        lambda acc: acc["spans"],
+    )
 
 
 def trained_chars(text: Column | str, instruction_part: str, response_part: str) -> Column:

@@ -130,3 +130,25 @@ def test_map_batches(spark):
     df = spark.range(10).withColumn("t", F.lit("a"))
     out = map_batches(df, lambda pdf: pdf.assign(t=pdf["t"] * 2), "id BIGINT, t STRING")
     assert {r.t for r in out.collect()} == {"aa"} and out.count() == 10
+
+
+def test_one_conversation_with_a_third_of_all_turns(spark):
+    n = 60_000
+    hot = spark.range(n).select(F.lit(0).alias("conv_id"), F.col("id").alias("turn"))
+    cold = spark.range(2 * n).select((F.col("id") % 5000 + 1).cast("int").alias("conv_id"), "id")
+    turns = hot.union(cold).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("turn") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("t"), F.col("turn").cast("string")).alias("text"),
+    )
+    rendered = render_conversations(assemble_conversations(turns), LLAMA)
+    spans = response_spans(rendered, "conv_id", spec=LLAMA).where("conv_id = 0")
+    row = spans.agg(
+        F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("chars")
+    ).first()
+    # Each reply runs to the next user header, its end-of-turn mark included.
+    want = sum(len(f"t{i}") + len(LLAMA.end_of_turn) for i in range(1, n, 2))
+    assert (row.n, row.chars) == (n // 2, want)
+    stats = mask_stats(rendered, "conv_id", spec=LLAMA).where("conv_id = 0").first()
+    assert stats.trained_chars == want
