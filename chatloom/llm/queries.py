@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import pieces, records, sharding, urls
+from chatloom.llm import pieces, records, sharding, simhash, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_record_digests(table(spark, sf_dir, "documents"), BYTE_BPE)
