@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import pieces, records, sharding, simhash, urls
+from chatloom.llm import pieces, quality, records, sharding, simhash, token_counts, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,12 @@ from placed left join fit using (k)
 """.format(values=", ".join(str(r) for r in URL_RULES))
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return quality.score_documents(table(spark, sf_dir, "documents"), labels)
+
+
 @query
 def op8_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 16)
@@ -97,3 +103,8 @@ def op8_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_BPE)
