@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import pieces, quality, records, sharding, simhash, token_counts, urls
+from chatloom.llm import decontamination, pieces, quality, records, sharding, simhash, token_counts, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
+    return found.select(
+        "kept.doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLES["op2_winnowing"] = r"""
+with d as (
+  select row_number() over () as k, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+  from documents
+),
+i as (
+  select item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+),
+iw as (
+  select distinct item_id, t, array_to_string(w[s + 1 : s + t], ' ') as g
+  from (select item_id, w, least(13, len(w)) as t, unnest(range(0, len(w) - least(13, len(w)) + 1)) as s
+        from i where len(w) > 0)
+),
+dw as (
+  select k, t, s, array_to_string(w[s + 1 : s + t], ' ') as g
+  from (select k, w, t, unnest(range(0, len(w) - t + 1)) as s
+        from d, (select distinct t from iw) where len(w) >= t)
+),
+hit as (select k, s, t, item_id from dw join iw using (t, g)),
+n as (select k, count(*) as n_hit from (select distinct k, unnest(range(s, s + t)) from hit) group by k),
+m as (
+  select k, count(*) as n_items, string_agg(cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids
+  from (select distinct k, item_id from hit) group by k
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join n using (k) left join m using (k)
+"""
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
