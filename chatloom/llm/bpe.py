@@ -14,8 +14,11 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
 
+import numpy as np
+
 MEMO_SEGMENTS = 500_000
 CHUNK_CHARS = 1_000_000
+BLANK_BYTE = "Ġ"  # how byte-level vocabularies write a blank
 
 
 class Memo:
@@ -32,18 +35,41 @@ class Memo:
 
     def hold(self, segments: set[str]) -> dict[str, bytes]:
         """The memo, with all of these segments in it."""
-        missing = segments - self.young.keys()
+        missing = segments.difference(self.young)
         if len(self.young) + len(missing) > self.most:
             self.old, self.young = self.young, {}
             missing = segments
         young, old = self.young, self.old
         young.update({s: old[s] for s in missing if s in old})
-        missing = list(missing - young.keys())
-        for segment, ids in zip(missing, self.encode_many(missing)):
-            young[segment] = array("I", ids).tobytes()
+        missing = list(missing.difference(young))
+        if missing:
+            young.update(zip(missing, self.encode_many(missing)))
         return young
 
 
+def encode_apart(words: list[str], encode: Callable, begins: np.ndarray, mark: str) -> list[bytes]:
+    """Ids of every word as if it followed a blank.
+
+    Words are encoded a thousand at a time as one text. ``begins`` tells the ids of
+    pieces that begin with a blank, so it tells where the next word begins; words that
+    hold a blank or ``mark`` themselves are encoded one by one.
+    """
+    out: dict[str, bytes] = {}
+    odd = [w for w in words if " " in w or mark in w or not w]
+    for w in odd:
+        out[w] = array("I", encode([w])[0]).tobytes()
+    plain = [w for w in words if w not in out] if odd else words
+    texts = [plain[at : at + 1000] for at in range(0, len(plain), 1000)]
+    for part, ids in zip(texts, encode([" ".join(t) for t in texts])):
+        ids = np.array(ids, np.uint32)
+        at = np.flatnonzero(begins[ids]) * 4
+        if len(at) != len(part):
+            raise ValueError("a word has no piece of its own at its start")
+        raw, ends = ids.tobytes(), [*at[1:].tolist(), 4 * len(ids)]
+        out.update(zip(part, [raw[a:b] for a, b in zip(at.tolist(), ends)]))
+    return [out[w] for w in words]
+
+
 def chunks(texts: list[str]) -> Iterator[list[str]]:
     """Runs of consecutive texts of about ``CHUNK_CHARS`` characters."""
     part, size = [], 0
@@ -93,10 +119,16 @@ def _byte_level(path: str) -> tuple[Memo, Memo]:
 
     tokenizer = Tokenizer.from_file(path)
 
-    def encode_many(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Memo(encode_many, 20_000), Memo(lambda texts: encode_many([" " + t for t in texts]))
+    begins = np.zeros(tokenizer.get_vocab_size(), bool)
+    begins[[i for piece, i in tokenizer.get_vocab().items() if piece.startswith(BLANK_BYTE)]] = True
+    behind = lambda texts: encode([" " + t for t in texts])
+    return (
+        Memo(lambda texts: [array("I", ids).tobytes() for ids in encode(texts)], 20_000),
+        Memo(lambda words: encode_apart(words, behind, begins, BLANK_BYTE)),
+    )
 
 
 def byte_level_ids(texts: list[str], path: str) -> Iterator[bytes]:
@@ -129,8 +161,12 @@ def _pieces(path: str) -> tuple[Memo, Memo]:
     if any("▁" in p.lstrip("▁") for p in pieces):
         raise ValueError("a piece holds a blank mark inside; texts cannot be cut at blanks")
     # A segment's own dummy prefix stands for the blank that was cut away.
-    encode_many = lambda texts: model.encode(texts, num_threads=1)
-    return Memo(encode_many, 20_000), Memo(encode_many)
+    encode = lambda texts: model.encode(texts, num_threads=1)
+    begins = np.array([p.startswith("▁") for p in pieces])
+    return (
+        Memo(lambda texts: [array("I", ids).tobytes() for ids in encode(texts)], 20_000),
+        Memo(lambda words: encode_apart(words, encode, begins, "▁")),
+    )
 
 
 def piece_ids(texts: list[str], path: str) -> Iterator[bytes]:

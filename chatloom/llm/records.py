@@ -8,9 +8,9 @@ A data file is a sequence of frames, one per document, in ascending id order:
     masked CRC-32 of the payload, unsigned 32-bit
 
 The mask rotates the checksum by 15 bits and adds a constant, so that a checksum
-stored inside checked data does not check itself. A payload is the document's id
-(signed 64-bit, a flag byte for null first) followed by its token ids (unsigned
-32-bit), the end id last. Beside the data files there is an index table: file, record,
+stored inside checked data does not check itself. A payload is a flag byte (1: the id is null, 2:
+wide), the document's id (signed 64-bit) and its token ids, the end id last: unsigned
+16-bit if they all fit, else (wide) unsigned 32-bit. Beside the data files there is an index table: file, record,
 offset and length of every frame and how many tokens come before it in its file, so
 that a shuffled read can seek to any record.
 
@@ -30,6 +30,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from chatloom.session import scratch_path
 
 MASK_DELTA = 0xA282EAD8
 HEAD = struct.Struct("<QI")
-DOC = struct.Struct("<?q")
+DOC = struct.Struct("<Bq")
 FILE_BYTES = 128 << 20
 PART_BYTES = 16 << 20
 INDEX = (
@@ -53,13 +54,16 @@ INDEX_ARROW = pa.schema(
 READ_BYTES = 8 << 20
 
 
-def pack(doc: int | None, ids: bytes) -> bytes:
-    return DOC.pack(doc is None, doc or 0) + ids
+def pack(doc: int | None, ids: np.ndarray) -> bytes:
+    wide = bool(ids.max(initial=0) >> 16)
+    return DOC.pack((doc is None) + 2 * wide, doc or 0) + ids.astype("<u4" if wide else "<u2").tobytes()
 
 
 def unpack(payload: bytes) -> tuple[int | None, bytes]:
-    null, doc = DOC.unpack_from(payload)
-    return None if null else doc, payload[DOC.size :]
+    """The document's id and its token ids as unsigned 32-bit integers."""
+    flags, doc = DOC.unpack_from(payload)
+    ids = np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=DOC.size)
+    return None if flags & 1 else doc, ids.astype("<u4").tobytes()
 
 
 def masked(crc: int) -> int:
@@ -118,7 +122,7 @@ def write_records(
     into files of about ``file_bytes``. Files are opened only when there is a record.
     """
     spark = docs.sparkSession
-    end = struct.pack("<I", end_id)
+    end = np.array([end_id], np.uint32).tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -138,7 +142,7 @@ def write_records(
                     name = f"part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tokens"
                     files.create_dir(path, recursive=True)
                     out, at, record, before = files.open_output_stream(f"{path}/{name}"), 0, 0, 0
-                data = frame(pack(doc, ids + end))
+                data = frame(pack(doc, np.frombuffer(ids + end, np.uint32)))
                 out.write(data)
                 n = len(ids) // 4 + 1
                 rows.append((part, seq, name, record, at, len(data), doc, n, before))
