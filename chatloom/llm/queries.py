@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import decontamination, pieces, quality, records, sharding, simhash, token_counts, urls
+from chatloom.llm import decontamination, neighbours, pieces, quality, records, sharding, simhash, token_counts, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
