@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import decontamination, neighbours, pieces, quality, records, sharding, simhash, token_counts, urls
+from chatloom.llm import decontamination, neighbours, passages, pieces, quality, records, sharding, simhash, token_counts, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ from d left join n using (k) left join m using (k)
 """
 
 
+@query
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.occurrences(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
