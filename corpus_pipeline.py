@@ -1,13 +1,66 @@
-"""A corpus pipeline of the operators in ``chatloom.llm``."""
+"""A corpus pipeline of the operators in ``chatloom.llm``.
+
+Low-quality documents go, one document of each group of near-duplicates stays, passages
+that an earlier document has as well are cut, documents that hold benchmark passages go,
+and what is left is encoded. Every stage but the last returns the columns of
+``documents``; every stage works on all that the one before it kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chatloom.llm import decontamination, passages, pieces, quality, simhash
+from chatloom.llm.common import materialize, ship_package
+from chatloom.llm.queries import PIECE_BPE, table
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the classifier does not reject; it learns from the labels beside them."""
+    ship_package(spark)
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the least id of each SimHash component."""
+    ship_package(spark)
+    return simhash.keep_one(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document of a smaller id has as well."""
+    ship_package(spark)
+    cut = passages.cut_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not hold passages of benchmark items."""
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text of every document left."""
+    ship_package(spark)
+    return pieces.encoding_digests(docs, PIECE_BPE)
+
+
+STAGES = [
+    ("quality classifier", drop_low_quality),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("substring dedup", cut_repeated_passages),
+    ("benchmark decontamination", drop_contaminated),
+    ("SentencePiece encoding and decoding", encode),
+]
 
-STAGES: list = []
+# SQL can express neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    """All stages over ``documents``; each is written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+    return STAGES[-1][1](spark, docs, sf_dir)
