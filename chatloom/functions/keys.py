@@ -14,7 +14,7 @@ def order_key(seed: int | str, id_col: Column | str, source: Column | str = "")
     return F.md5(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), text_or_empty(id_col)))
 
 
-def hash_bucket(key: Column | str, digits: int = 4) -> Column:
+def hash_bucket(key: Column | str, digits: int = 5) -> Column:
     """Leading hex digits as a number: equal-sized buckets in key order."""
     number = F.conv(F.substring(as_column(key), 1, digits), 16, 10).cast("bigint")
     return F.coalesce(number, F.lit(0).cast("bigint"))

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from chatloom.functions.keys import hash_bucket
 
 RANGE_BUCKETS = 32768
-BROADCAST_GROUPS = 100_000
+BUCKET_ROWS = 1_000_000
+MAX_BOUNDS = 2**24 - 1
 
-# Adds a ``_bucket`` column that never decreases along the order.
+# Adds a ``__cl_bucket`` column that never decreases along the order. All working
+# columns here begin with ``__cl_``, a prefix no table may use itself.
 Bucketing = Callable[[DataFrame], DataFrame]
 
 
@@ -37,24 +39,27 @@ def order_value(order_by: Sequence[str]) -> Column:
 def with_count_up_to(
     df: DataFrame, bounds: Column, order_by: Sequence[str], out: str
 ) -> DataFrame:
-    """Add how many of the sorted ``bounds`` (at most 131071) are at or before the row.
+    """Add how many of the sorted ``bounds`` (at most ``MAX_BOUNDS``) are at or before the row.
 
-    A binary search in 17 steps. ``bounds`` is a scalar subquery, which may not
+    A binary search with as many steps as the number of bounds has digits. ``bounds`` is a scalar subquery, which may not
     be written inside a lambda; as a column referenced once it is merged back
-    into the search and never copied into the rows. (Seventeen chained columns
-    would be compiled, but into a method too long for the JIT.)
+    into the search and never copied into the rows. (Chained columns would be
+    compiled, but into a method too long for the JIT.)
     """
     key = order_value(order_by)
-    steps = F.array(*[F.lit(2**i) for i in range(16, -1, -1)])
+    steps = F.filter(
+        F.array(*[F.lit(2**i) for i in range(23, -1, -1)]),
+        lambda step: step <= F.size(F.col("__cl_bounds")),
+    )
     found = F.aggregate(
         steps,
         F.lit(0),
         lambda at, step: at
-        + F.when(F.get(F.col("_bounds"), at + step - 1) <= key, step).otherwise(0),
+        + F.when(F.get(F.col("__cl_bounds"), at + step - 1) <= key, step).otherwise(0),
     )
     # Never null, so that a join on it needs no null test that repeats the search.
     found = F.coalesce(found.cast("bigint"), F.lit(0).cast("bigint"))
-    return df.withColumn("_bounds", bounds).withColumn(out, found).drop("_bounds")
+    return df.withColumn("__cl_bounds", bounds).withColumn(out, found).drop("__cl_bounds")
 
 
 def range_buckets(
@@ -62,34 +67,54 @@ def range_buckets(
 ) -> Bucketing:
     """Buckets that grow with ``order_by``, of any orderable type.
 
-    Bounds are about ``buckets`` distinct keys picked by hash, so they follow the
-    data's distribution; a leading column with a hot value is split by the
-    columns after it. Any bounds give exact positions, only balance varies.
+    Bounds are about ``buckets`` distinct keys picked by hash, more where a bucket
+    would pass ``BUCKET_ROWS`` rows, so they follow the data's distribution and
+    size; a leading column with a hot value is split by the columns after it. Any
+    bounds give exact positions, only balance varies.
     """
     # Missing values come first in the order and so belong to the first bucket.
     keys = df.select(order_value(order_by).alias("k")).where(F.col("k").isNotNull())
     stride = keys.agg(
-        F.greatest(F.lit(1), (F.count(F.lit(1)) / F.lit(buckets)).cast("bigint")).alias("m")
+        F.greatest(
+            F.lit(1).cast("bigint"),
+            F.least(
+                (F.count(F.lit(1)) / F.lit(buckets)).cast("bigint"),
+                F.lit(BUCKET_ROWS).cast("bigint"),
+            ),
+        ).alias("m")
     ).scalar()
     picked = keys.where(F.pmod(F.xxhash64("k"), stride) == 0).groupBy("k").agg(F.lit(1))
     bounds = picked.agg(F.array_sort(F.collect_list("k")).alias("b")).scalar()
-    return lambda rows: with_count_up_to(rows, bounds, order_by, "_bucket")
+    return lambda rows: with_count_up_to(rows, bounds, order_by, "__cl_bucket")
 
 
-def key_buckets(key: str = "_key") -> Bucketing:
+def key_buckets(key: str = "__cl_key") -> Bucketing:
     """Buckets from the leading hex digits of a hash key: equal by construction."""
-    return lambda rows: rows.withColumn("_bucket", hash_bucket(key))
+    return lambda rows: rows.withColumn("__cl_bucket", hash_bucket(key))
 
 
 def value_buckets(column: str, width: int) -> Bucketing:
-    """Buckets of ``width`` consecutive integer values."""
-    return lambda rows: rows.withColumn(
-        "_bucket", F.floor(F.col(column) / F.lit(width)).cast("bigint")
-    )
+    """Buckets of ``width`` consecutive integer values.
+
+    Their number grows with the values, so they are for sums inside groups only.
+    """
+
+    def bucketing(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__cl_bucket", F.floor(F.col(column) / F.lit(width)).cast("bigint"))
+
+    bucketing.unbounded = True
+    return bucketing
+
+
+def refuse_reserved(df: DataFrame, *added: str) -> None:
+    """An error if the table has columns that would be overwritten or are reserved."""
+    taken = [c for c in df.columns if c.lower().startswith("__cl_") or c.lower() in {a.lower() for a in added}]
+    if taken:
+        raise ValueError(f"the table already has columns {taken}")
 
 
 def _same_group(by: Sequence[str]) -> list[Column]:
-    return [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return [F.col(c).eqNullSafe(F.col(f"__cl_by_{c}")) for c in by]
 
 
 def bucket_totals(
@@ -100,21 +125,23 @@ def bucket_totals(
     Without groups the window sees one row per bucket, a number fixed by the
     bucketing and not by the data.
     """
+    if not by and getattr(bucketing, "unbounded", False):
+        raise ValueError("buckets of values grow with the data; give groups to sum in")
     if value is None:
         value = F.lit(1)
     totals = (
-        bucketing(df.withColumn("_value", value))
-        .groupBy(*by, "_bucket")
-        .agg(F.sum("_value").alias("_total"))
+        bucketing(df.withColumn("__cl_value", value))
+        .groupBy(*by, "__cl_bucket")
+        .agg(F.sum("__cl_value").alias("__cl_total"))
     )
-    w = Window.partitionBy(*by).orderBy("_bucket")
-    before = F.sum("_total").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    w = Window.partitionBy(*by).orderBy("__cl_bucket")
+    before = F.sum("__cl_total").over(w.rowsBetween(Window.unboundedPreceding, -1))
     return totals.select(
-        *[F.col(c).alias(f"_{c}") for c in by],
-        F.col("_bucket").alias("_b"),
-        "_total",
-        F.coalesce(before, F.lit(0)).alias("_offset"),
-        F.lead("_total").over(w).isNull().alias("_last"),
+        *[F.col(c).alias(f"__cl_by_{c}") for c in by],
+        F.col("__cl_bucket").alias("__cl_b"),
+        "__cl_total",
+        F.coalesce(before, F.lit(0)).alias("__cl_offset"),
+        F.lead("__cl_total").over(w).isNull().alias("__cl_last"),
     )
 
 
@@ -127,18 +154,20 @@ def running_total(
     value: Column | None = None,
 ) -> DataFrame:
     """Inclusive running sum of ``value`` (of 1 when not given) in exact order."""
+    if out in df.columns:
+        raise ValueError(f"the table already has a column {out}")
     totals = bucket_totals(df, bucketing, by, value)
     if not by:
         totals = F.broadcast(totals)
-    joined = bucketing(df).join(totals, [*_same_group(by), F.col("_bucket") == F.col("_b")])
-    w = Window.partitionBy(*by, "_bucket").orderBy(*order_by)
+    joined = bucketing(df).join(totals, [*_same_group(by), F.col("__cl_bucket") == F.col("__cl_b")])
+    w = Window.partitionBy(*by, "__cl_bucket").orderBy(*order_by)
     inside = (
         F.row_number().over(w)
         if value is None
         else F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0))
     )
-    return joined.withColumn(out, (F.col("_offset") + inside).cast("bigint")).drop(
-        "_bucket", "_b", "_total", "_offset", "_last", *[f"_{c}" for c in by]
+    return joined.withColumn(out, (F.col("__cl_offset") + inside).cast("bigint")).drop(
+        "__cl_bucket", "__cl_b", "__cl_total", "__cl_offset", "__cl_last", *[f"__cl_by_{c}" for c in by]
     )
 
 
@@ -154,17 +183,34 @@ def global_index(
 
 
 def with_blocks(
-    df: DataFrame, order_by: Sequence[str], block_rows: Column, out: str = "_block"
+    df: DataFrame, order_by: Sequence[str], block_rows: Column, out: str = "__cl_block"
 ) -> DataFrame:
     """Add the number of the block of ``block_rows`` consecutive rows a row is in.
 
     Only the order columns are indexed to find the blocks' first rows; the wide
-    rows are looked up against those, without a shuffle. The caller picks
-    ``block_rows`` so that the number of blocks is bounded.
+    rows are looked up against those, without a shuffle. Rows that tie across a
+    block's border are an error, since no border could keep the blocks' sizes.
     """
-    positions = global_index(df.select(*order_by), order_by, out="_pos")
-    firsts = positions.where(F.pmod(F.col("_pos"), block_rows) == 0)
-    starts = firsts.agg(F.array_sort(F.collect_list(order_value(order_by))).alias("s"))
+    positions = global_index(df.select(*order_by), order_by, out="__cl_pos")
+    place = F.pmod(F.col("__cl_pos"), block_rows)
+    # The first and the last row of every block, in order.
+    edges = positions.where((place == 0) | (place == block_rows - 1)).select(
+        F.struct(
+            F.col("__cl_pos").alias("pos"), (place == 0).alias("first"), order_value(order_by).alias("key")
+        ).alias("e")
+    )
+    sorted_edges = edges.agg(F.array_sort(F.collect_list("e")).alias("e"))
+
+    def split_tie(e: Column, i: Column) -> Column:
+        before = F.get(F.col("e"), i - 1)
+        return e["first"] & (before["pos"] == e["pos"] - 1) & (before["key"] == e["key"])
+
+    tied = F.exists(
+        F.transform("e", lambda e, i: F.coalesce(split_tie(e, i), F.lit(False))), lambda t: t
+    )
+    keys = F.transform(F.filter("e", lambda e: e["first"]), lambda e: e["key"])
+    stop = F.raise_error(F.lit("order_by does not identify the rows at a block's border"))
+    starts = sorted_edges.select(F.when(~tied, keys).otherwise(stop).alias("starts"))
     found = with_count_up_to(df, starts.scalar(), order_by, out)
     return found.withColumn(out, F.col(out) - 1)
 
@@ -186,30 +232,30 @@ def rank_cutoff(
     bucketing = bucketing or range_buckets(df, order_by)
     n = F.lit(n) if isinstance(n, int) else n
     edge = bucket_totals(df, bucketing, by).where(
-        (F.col("_offset") < n) & ((n <= F.col("_offset") + F.col("_total")) | F.col("_last"))
+        (F.col("__cl_offset") < n) & ((n <= F.col("__cl_offset") + F.col("__cl_total")) | F.col("__cl_last"))
     )
     edge = edge.select(
-        *[f"_{c}" for c in by],
-        "_b",
-        F.least(n - F.col("_offset"), F.col("_total")).alias("_want"),
+        *[f"__cl_by_{c}" for c in by],
+        "__cl_b",
+        F.least(n - F.col("__cl_offset"), F.col("__cl_total")).alias("__cl_want"),
     )
     # One row per group: proven small only without groups.
     small = edge if by else F.broadcast(edge)
     hits = (
         bucketing(df)
-        .select(*by, order_struct(order_by).alias("_k"), "_bucket")
-        .join(small, [*_same_group(by), F.col("_bucket") == F.col("_b")])
-        .groupBy(*by, "_k", "_want")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*by, order_struct(order_by).alias("__cl_k"), "__cl_bucket")
+        .join(small, [*_same_group(by), F.col("__cl_bucket") == F.col("__cl_b")])
+        .groupBy(*by, "__cl_k", "__cl_want")
+        .agg(F.count(F.lit(1)).alias("__cl_n"))
     )
-    w = Window.partitionBy(*by, "_want").orderBy("_k")
-    upto = F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = hits.withColumn("_upto", upto).where(
-        (F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want"))
+    w = Window.partitionBy(*by, "__cl_want").orderBy("__cl_k")
+    upto = F.sum("__cl_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = hits.withColumn("__cl_upto", upto).where(
+        (F.col("__cl_upto") >= F.col("__cl_want")) & (F.col("__cl_upto") - F.col("__cl_n") < F.col("__cl_want"))
     )
     tie = F.raise_error(F.lit("order_by does not identify the rows at the cut")).cast("boolean")
-    exact = F.when(F.col("_upto") > F.col("_want"), tie).otherwise(F.lit(True))
-    return ranked.where(exact).select(*by, F.col("_k").alias("cutoff"))
+    exact = F.when(F.col("__cl_upto") > F.col("__cl_want"), tie).otherwise(F.lit(True))
+    return ranked.where(exact).select(*by, F.col("__cl_k").alias("cutoff"))
 
 
 def first_rows(
@@ -242,14 +288,10 @@ def first_rows_per_group(
 ) -> DataFrame:
     """Exactly the first ``n`` rows of every group.
 
-    The cut-off table has one row per group. Groups are counted first: up to
-    ``BROADCAST_GROUPS`` the table is broadcast and wide rows stay where they
-    are; beyond, it is a shuffle join whose hot groups the adaptive planner splits.
+    The cut-off table has one row per group; the adaptive planner sees its real
+    size and broadcasts it or splits hot groups.
     """
     cuts = rank_cutoff(df, n, order_by, bucketing, by)
-    cuts = cuts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("cutoff").alias("_cut"))
-    groups = df.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count()
-    if groups <= BROADCAST_GROUPS:
-        cuts = F.broadcast(cuts)
+    cuts = cuts.select(*[F.col(c).alias(f"__cl_by_{c}") for c in by], F.col("cutoff").alias("__cl_cut"))
     joined = df.join(cuts, _same_group(by))
-    return joined.where(order_struct(order_by) <= F.col("_cut")).select(*df.columns)
+    return joined.where(order_struct(order_by) <= F.col("__cl_cut")).select(*df.columns)

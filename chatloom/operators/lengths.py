@@ -22,13 +22,13 @@ def length_stats(
     limit: int = SEQUENCE_LIMIT,
 ) -> DataFrame:
     """Estimated length per group: ``n, min_len, max_len, sum_len, n_over``."""
-    lengths = df.select(*by, estimate_length(column, est).alias("_len"))
+    lengths = df.select(*by, estimate_length(column, est).alias("__cl_len"))
     return lengths.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("_len").alias("min_len"),
-        F.max("_len").alias("max_len"),
-        F.sum("_len").alias("sum_len"),
-        F.count_if(F.col("_len") > limit).alias("n_over"),
+        F.min("__cl_len").alias("min_len"),
+        F.max("__cl_len").alias("max_len"),
+        F.sum("__cl_len").alias("sum_len"),
+        F.count_if(F.col("__cl_len") > limit).alias("n_over"),
     )
 
 
@@ -81,13 +81,13 @@ def pack(
         count = F.lit(n_buckets).cast("bigint")
     w = (
         Window.partitionBy("bucket")
-        .orderBy("_key", id)
+        .orderBy("__cl_key", id)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     start = F.sum(len_col).over(w) - F.col(len_col)
     return (
-        df.withColumn("_key", key)
-        .withColumn("bucket", F.pmod(hash_bucket("_key", 8), count))
+        df.withColumn("__cl_key", key)
+        .withColumn("bucket", F.pmod(hash_bucket("__cl_key", 8), count))
         .withColumn("pack", F.floor(start / F.lit(float(budget))).cast("bigint"))
-        .drop("_key")
+        .drop("__cl_key")
     )

@@ -21,6 +21,7 @@ from chatloom.operators.indexing import (
     key_buckets,
     order_struct,
     rank_cutoff,
+    refuse_reserved,
 )
 
 
@@ -44,13 +45,19 @@ def cap_per_source(
 
 
 def mix(parts: dict[str, DataFrame], source: str = "source") -> DataFrame:
-    """Bag union of the parts, duplicates kept, each row tagged with its part."""
+    """Bag union of the parts, duplicates kept, each row tagged with its part.
+
+    Parts that already have a column of the tag's name are refused; name another.
+    """
+    for df in parts.values():
+        refuse_reserved(df, source)
     tagged = [df.withColumn(source, F.lit(name)) for name, df in parts.items()]
     return reduce(DataFrame.unionByName, tagged)
 
 
 def _keyed(df: DataFrame, seed: int | str, id: str, source: Column | str) -> DataFrame:
-    return df.withColumn("_key", order_key(seed, id, source))
+    refuse_reserved(df)
+    return df.withColumn("__cl_key", order_key(seed, id, source))
 
 
 def sample_exact(
@@ -58,7 +65,7 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly ``n`` rows without replacement."""
     keyed = _keyed(df, seed, id, source)
-    return first_rows(keyed, n, ["_key", id], key_buckets()).drop("_key")
+    return first_rows(keyed, n, ["__cl_key", id], key_buckets()).drop("__cl_key")
 
 
 def sample_to_share(
@@ -99,11 +106,11 @@ def shuffle(
     the key, so they are equal in size whatever the data looks like.
     """
     keyed = _keyed(df, seed, id, source)
-    order = ["_key", id]
+    order = ["__cl_key", id]
     if isinstance(source, Column):
-        keyed = keyed.withColumn("_source", source)
-        order = ["_key", "_source", id]
-    return global_index(keyed, order, key_buckets(), out).drop("_key", "_source")
+        keyed = keyed.withColumn("__cl_source", source)
+        order = ["__cl_key", "__cl_source", id]
+    return global_index(keyed, order, key_buckets(), out).drop("__cl_key", "__cl_source")
 
 
 def split_train_eval(
@@ -121,10 +128,10 @@ def split_train_eval(
     size = df.agg(
         F.ceil(F.count(F.lit(1)).cast("double") * F.lit(float(eval_fraction))).alias("n")
     ).scalar()
-    order = ["_key", id]
+    order = ["__cl_key", id]
     cutoff = rank_cutoff(keyed, size, order, key_buckets())
     held_out = F.coalesce(order_struct(order) <= cutoff.select("cutoff").scalar(), F.lit(False))
-    return keyed.withColumn(out, F.when(held_out, "eval").otherwise("train")).drop("_key")
+    return keyed.withColumn(out, F.when(held_out, "eval").otherwise("train")).drop("__cl_key")
 
 
 def split_by_hash(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.operators.indexing import refuse_reserved
 from chatloom.operators.normalize import normalize_annotations, normalize_records
 from chatloom.schemas import ANNOTATION
 
@@ -58,11 +59,13 @@ def read_many(
     spark: SparkSession,
     names: str | list[str] | dict[str, str],
     columns: list[str] | None = None,
+    tag: str = "source",
 ) -> DataFrame:
-    """Several datasets as one training set, tagged in ``source``.
+    """Several datasets as one training set, tagged in the column ``tag``.
 
     ``names`` is a comma list, a list, or ``{source name: table or path}``.
-    ``columns`` picks what the sets have in common.
+    ``columns`` picks what the sets have in common. A set that already has a column
+    of the tag's name is refused; name another tag.
     """
     if isinstance(names, str):
         names = [n.strip() for n in names.split(",") if n.strip()]
@@ -72,5 +75,6 @@ def read_many(
     for source, name in names.items():
         df = read_table(spark, name)
         df = df.select(*columns) if columns else df
-        parts.append(df.withColumn("source", F.lit(source)))
+        refuse_reserved(df, tag)
+        parts.append(df.withColumn(tag, F.lit(source)))
     return reduce(DataFrame.unionByName, parts)

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from chatloom.fixed_values import SHARD_NAME, SHARD_ROWS
 from chatloom.functions.jsonfmt import entity_json, json_list, json_string
-from chatloom.operators.indexing import with_blocks
+from chatloom.operators.indexing import refuse_reserved, with_blocks
 
-MAX_BLOCKS = 4096
+# At least this many blocks where there are rows enough, more where a block would
+# pass BLOCK_ROWS rows.
+BLOCKS = 4096
+BLOCK_ROWS = 1_000_000
 
 
 def annotation_line(text: str = "text", entities: str = "entities") -> Column:
@@ -30,21 +33,25 @@ def assign_shards(
 ) -> DataFrame:
     """Add ``idx`` (0-based position) and ``shard`` (``idx // shard_size``).
 
-    Positions are cut into at most 4096 blocks of whole shards. Block borders
-    come from indexing the order columns alone; the wide rows are then shuffled
-    once, by block, into equal parts that each hold complete shards.
+    Positions are cut into blocks of whole shards, whose number grows with the
+    rows. Block borders come from indexing the order columns alone; the wide rows
+    are then shuffled once, by block, into equal parts that each hold complete
+    shards. A table with its own ``idx`` or ``shard`` is refused, and so are rows
+    that tie across a block's border.
     """
+    refuse_reserved(df, "idx", "shard")
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    per_block = F.greatest(F.lit(1).cast("bigint"), F.ceil(rows / F.lit(MAX_BLOCKS * shard_size)))
+    blocks = F.greatest(F.lit(BLOCKS).cast("bigint"), F.ceil(rows / F.lit(BLOCK_ROWS)))
+    per_block = F.greatest(F.lit(1).cast("bigint"), F.ceil(rows / (blocks * F.lit(shard_size))))
     block_rows = (per_block * F.lit(shard_size)).cast("bigint")
-    w = Window.partitionBy("_block").orderBy(*order)
-    idx = F.col("_block") * block_rows + F.row_number().over(w) - 1
+    w = Window.partitionBy("__cl_block").orderBy(*order)
+    idx = F.col("__cl_block") * block_rows + F.row_number().over(w) - 1
     return (
         with_blocks(df, order, block_rows)
         .withColumn("idx", idx.cast("bigint"))
         .withColumn("shard", F.expr(f"idx div {shard_size}"))
-        .drop("_block")
+        .drop("__cl_block")
     )
 
 
@@ -53,9 +60,11 @@ def shard_manifest(
 ) -> DataFrame:
     """Shard number, file name, rows and first and last order value; writes nothing."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    lead = order[0]
+    keys = [f"key_{i}" for i in range(len(order))]
+    lead = keys[0]
+    narrow = df.select(*[F.col(c).alias(k) for c, k in zip(order, keys)])
     return (
-        assign_shards(df.select(*order), shard_size, order)
+        assign_shards(narrow, shard_size, keys)
         .groupBy("shard")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -82,9 +91,13 @@ def write_jsonl_sharded(
     keeps the number of folders in the tens of thousands.
     """
     body = line if line is not None else F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    rows = assign_shards(df, shard_size, order_by)
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    keys = [f"key_{i}" for i in range(len(order))]
+    # The line is made before positions are added, so it has the table's own columns.
+    lines = df.select(*[F.col(c).alias(k) for c, k in zip(order, keys)], body.alias("value"))
+    rows = assign_shards(lines, shard_size, keys)
     (
-        rows.select("idx", F.format_string("%04d", "shard").alias("shard"), body.alias("value"))
+        rows.select("idx", F.format_string("%04d", "shard").alias("shard"), "value")
         .sortWithinPartitions("shard", "idx")
         .select("shard", "value")
         .write.mode(mode)

@@ -424,6 +424,10 @@ SELECT shard, count(*) AS n, min(doc_id) AS "first", max(doc_id) AS "last",
 FROM numbered GROUP BY shard
 """
 
+ORACLES["shard_rows"] = """
+SELECT (row_number() OVER (ORDER BY source, doc_id) - 1) // 64 AS shard, doc_id, text FROM documents
+"""
+
 # Projection and normalization
 ORACLES["normalize_text"] = with_(DIRTY) + "SELECT doc_id, text FROM norm"
 ORACLES["normalize_entities_null"] = with_(DIRTY) + (
@@ -549,6 +553,10 @@ QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20
 """
 ORACLES["sample_to_share"] = with_(MIX) + "SELECT doc_id, lang, text FROM chosen"
 ORACLES["mix_concat"] = with_(MIX) + "SELECT * FROM mixed"
+ORACLES["mix_whole_rows"] = """
+SELECT *, 'english' AS part FROM documents WHERE lang = 'en'
+UNION ALL SELECT *, 'french' AS part FROM documents WHERE lang = 'fr'
+"""
 ORACLES["seeded_shuffle"] = with_(MIX) + """
 SELECT *, row_number() OVER (
   ORDER BY md5('3407:' || source || ':' || doc_id), source, doc_id) - 1 AS pos

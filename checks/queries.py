@@ -31,7 +31,12 @@ from chatloom.sources.readers import (
     read_splits,
     read_table,
 )
-from chatloom.sources.writers import annotation_line, shard_manifest, write_jsonl_sharded
+from chatloom.sources.writers import (
+    annotation_line,
+    assign_shards,
+    shard_manifest,
+    write_jsonl_sharded,
+)
 from checks import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +138,12 @@ def shard_manifest_rows(spark, sf):
     return shard_manifest(documents(spark, sf), 100, "doc_id")
 
 
+@query
+def shard_rows(spark, sf):
+    d = documents(spark, sf).select("source", "doc_id", "text")
+    return assign_shards(d, 64, ["source", "doc_id"]).select("shard", "doc_id", "text")
+
+
 # Projection and normalization ----------------------------------------------
 
 
@@ -379,6 +390,12 @@ def mix_concat(spark, sf):
     return _mixed(spark, sf)
 
 
+@query
+def mix_whole_rows(spark, sf):
+    base, pool = documents(spark, sf).where("lang = 'en'"), documents(spark, sf).where("lang = 'fr'")
+    return mixing.mix({"english": base, "french": pool}, "part")
+
+
 @query
 def seeded_shuffle(spark, sf):
     return mixing.shuffle(_mixed(spark, sf), 3407, "doc_id", F.col("source"))

@@ -98,6 +98,44 @@ def test_shards_by_text_key_and_manifest(spark):
     assert m[10] == ("annotations.0010.jsonl", 1, "k0500", "k0500") and len(m) == 11
 
 
+def test_ties_are_exact_or_an_error(spark, monkeypatch):
+    paired = spark.range(20).selectExpr("id div 2 AS id", "id AS n")
+    got = assign_shards(paired, 20).collect()
+    assert sorted(r.idx for r in got) == list(range(20))
+    # Blocks of four rows never cut a pair, blocks of five do.
+    monkeypatch.setattr("chatloom.sources.writers.BLOCKS", 5)
+    rows = assign_shards(paired, 4).collect()
+    assert sorted(r.idx for r in rows) == list(range(20)) and {r.shard for r in rows} == set(range(5))
+    with pytest.raises(Exception, match="does not identify"):
+        assign_shards(paired, 5).collect()
+
+
+def test_more_blocks_than_the_usual_number(spark, monkeypatch):
+    monkeypatch.setattr("chatloom.sources.writers.BLOCKS", 7)
+    monkeypatch.setattr("chatloom.sources.writers.BLOCK_ROWS", 3)
+    rows = assign_shards(spark.range(1000), 2).collect()
+    assert {r.id: (r.idx, r.shard) for r in rows} == {i: (i, i // 2) for i in range(1000)}
+
+
+def test_shards_keep_columns_named_idx_and_shard(spark):
+    df = spark.range(10).selectExpr("id", "id + 900 AS idx", "id * 7 AS shard")
+    with pytest.raises(ValueError, match="already"):
+        assign_shards(df, 5)
+    for order in ("id", "idx"):
+        out = scratch_path(spark, "own")
+        write_jsonl_sharded(df, out, 5, order)
+        lines = [json.loads(line) for lines in shard_files(out).values() for line in lines]
+        assert lines == [{"id": i, "idx": i + 900, "shard": 7 * i} for i in range(10)]
+    assert shard_manifest(df, 5, "idx").agg(F.sum("n")).first()[0] == 10
+
+
+def test_read_many_refuses_to_replace_a_column(spark, small):
+    path = {"d": f"{small}/documents.parquet"}
+    with pytest.raises(ValueError, match="already"):
+        read_many(spark, path)
+    assert read_many(spark, path, tag="part").columns[-1] == "part"
+
+
 def test_one_wide_shuffle_for_shards(spark, small):
     d = spark.read.parquet(f"{small}/documents.parquet")
     plan = assign_shards(d, 10, "doc_id")._jdf.queryExecution().executedPlan().toString()
