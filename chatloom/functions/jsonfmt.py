@@ -5,9 +5,11 @@ Written text has ``", "`` / ``": "`` separators and keeps non-ASCII as is.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import as_column, let
@@ -16,6 +18,9 @@ from chatloom.schemas import ENTITY_FIELDS
 # The escapes of a JSON string.
 SHORT_ESCAPES = {"\b": "\\b", "\t": "\\t", "\n": "\\n", "\f": "\\f", "\r": "\\r"}
 
+# NaN or an infinity outside strings, with all that stands before it.
+NOT_FINITE = r'\G(?<before>(?:[^"NI-]|"(?:[^"\\]|\\.)*+"|-(?!Infinity))*+)(?:-?Infinity|NaN)'
+
 
 def _escape(c: Column, table: dict[str, str]) -> Column:
     return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), table.items(), c)
@@ -71,18 +76,36 @@ def parse_json_text(raw: Column | str) -> Column:
     """The JSON document in ``raw``; null unless the whole text is one document.
 
     The parser stops after the first value, so text after it would go unnoticed.
-    Inside a list with a closing mark derived from the text, it does not.
-    Repeated keys in an object and NaN count as invalid.
+    Inside a list with a closing mark derived from the text, it does not. NaN and
+    infinities are taken as the number 0. Repeated keys in an object are invalid
+    unless the plan is made under :func:`repeated_keys`.
     """
     raw = as_column(raw)
     mark = F.xxhash64(raw)
-    pair = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(","), mark.cast("string"), F.lit("]")))
+
+    def parsed(text: Column) -> Column:
+        pair = F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))
+        return let(F.try_parse_json(pair), unwrap)
 
     def unwrap(p: Column) -> Column:
         whole = (F.try_variant_get(p, "$[1]", "bigint") == mark) & variant_at(p, "$[2]").isNull()
         return F.when(whole, variant_at(p, "$[0]"))
 
-    return let(pair, unwrap)
+    # Only texts that are refused as they are and hold such a word take the second path.
+    finite = F.regexp_replace(raw, NOT_FINITE, "${before}0")
+    return F.coalesce(parsed(raw), F.when(raw.rlike("NaN|Infinity"), parsed(finite)))
+
+
+@contextmanager
+def repeated_keys(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside take the last of an object's repeated keys, as ``json.loads`` does."""
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def parse_json_object(raw: Column | str, fields: str) -> Column:

@@ -1,7 +1,8 @@
 """Planning generation requests: sizes, prompts and payload rows.
 
 No request is sent from here. A plan assumes every response is accepted in
-full; shortfalls are found afterwards by ``responses.pending_requests``.
+full. Afterwards ``responses.pending_requests`` finds the requests to send again, and
+``followup_requests`` asks for what accepted responses fell short of.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ def plan_requests(
     batch_size: str = "batch_size",
     tokens: str = "tokens",
     cap: int = BATCH_TOKEN_CAP,
+    first_batch: str | None = None,
 ) -> DataFrame:
     """Expand every job into its request rows at once.
 
@@ -35,7 +37,8 @@ def plan_requests(
     i-th request starts with ``total - i * step`` items missing and needs no
     loop. ``shrunk`` says that the cap made the request smaller than wanted; a
     cap hit that returns the wanted size is not shrunk. Jobs without items, or
-    with a batch size below 1 (which could never finish), have no requests.
+    with a batch size below 1 (which could never finish), have no requests. Batch
+    ids start at the column ``first_batch``, or at 0.
 
     Rows are produced in two steps with a shuffle of small chunk rows between,
     so one huge job is spread over tasks and never sits in one array.
@@ -45,6 +48,7 @@ def plan_requests(
         F.col(total).cast("bigint").alias("total"),
         F.col(batch_size).cast("bigint").alias("batch_size"),
         F.col(tokens).cast("bigint").alias("tokens"),
+        (F.col(first_batch) if first_batch else F.lit(0)).cast("bigint").alias("first_batch"),
     ).where((F.col("total") > 0) & (F.col("batch_size") > 0))
     step = safe_batch("batch_size", "tokens", cap)
     sized = spec.withColumn("step", step).withColumn(
@@ -59,12 +63,13 @@ def plan_requests(
     tasks = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = sized.withColumn("first", F.explode(starts)).repartition(tasks, job, "first")
     last = F.least(F.col("first") + (size - 1), F.col("n_requests") - 1)
-    rows = chunks.withColumn("batch_id", F.explode(F.sequence("first", last)))
-    remaining = F.col("total") - F.col("batch_id") * F.col("step")
+    rows = chunks.withColumn("number", F.explode(F.sequence("first", last)))
+    remaining = F.col("total") - F.col("number") * F.col("step")
     return (
         rows.withColumn("remaining_before", remaining)
         .withColumn("want", F.least(F.col("batch_size"), F.col("remaining_before")))
         .withColumn("count", safe_batch("want", "tokens", cap))
+        .withColumn("batch_id", F.col("first_batch") + F.col("number"))
         .select(
             job,
             "batch_id",
@@ -78,6 +83,40 @@ def plan_requests(
     )
 
 
+def followup_requests(
+    jobs: DataFrame,
+    requests: DataFrame,
+    accepted: DataFrame,
+    job: str = "job_id",
+    batch: str = "batch_id",
+    **plan: str,
+) -> DataFrame:
+    """The next round's new requests, for what accepted responses fell short of.
+
+    ``requests`` has the ``count`` of every batch asked for so far, ``accepted`` the
+    items of every batch with a usable response (``responses.first_usable``). A batch
+    without one is still to be answered under its own id and counts in full. What
+    is then missing to a job's ``total`` is planned anew, with ids after the last.
+    """
+    name = plan.get("total", "total")
+    done = accepted.select(job, batch, F.col("accepted").alias("_accepted"))
+    state = (
+        requests.select(job, batch, "count")
+        .join(done, [job, batch], "left")
+        .groupBy(job)
+        .agg(
+            F.sum(F.coalesce("_accepted", "count")).alias("_covered"),
+            (F.max(batch) + 1).alias("_next"),
+        )
+    )
+    short = (
+        jobs.join(state, job, "left")
+        .withColumn(name, F.col(name) - F.coalesce("_covered", F.lit(0)))
+        .withColumn("_next", F.coalesce("_next", F.lit(0)))
+    )
+    return plan_requests(short, job, first_batch="_next", **plan)
+
+
 def render_requests(plan: DataFrame, seed: int | None = None) -> DataFrame:
     """Add the ``system`` and ``user`` prompt of every request.
 

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.functions.jsonfmt import parse_json_text, variant_at, variant_list
+from chatloom.functions.jsonfmt import parse_json_text, repeated_keys, variant_at, variant_list
 from chatloom.functions.text import let, preview
-from chatloom.operators.indexing import running_total, value_buckets
 from chatloom.operators.shaping import evaluate_once, explode_rows
 from chatloom.schemas import ENTITIES_DDL, ENTITY_FIELDS
 
@@ -25,17 +24,20 @@ def is_string(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
 
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def object_fields(v: Column) -> Column:
+    """An object's fields as a map of variants; null for anything else."""
+    return F.try_variant_get(v, "$", "map<string, variant>")
 
 
 def parse_responses(df: DataFrame, raw: str = "raw", expected: str = "expected") -> DataFrame:
     """Add ``status``, ``n_items``, ``count_mismatch`` and ``items``.
 
     Status: ``not_json``, ``no_items`` (no object, or no such key),
-    ``items_not_list``, ``ok``. A wrong number of items is only flagged.
+    ``items_not_list``, ``ok``. A wrong number of items is only flagged. Of repeated
+    keys the last counts.
     """
-    document = df.withColumn("_doc", parse_json_text(F.col(raw)))
+    with repeated_keys(df.sparkSession):
+        document = df.withColumn("_doc", parse_json_text(F.col(raw)))
     document = document.withColumn("_items", variant_list(F.col("_doc"), "$.items"))
     object_like = F.col(raw).rlike("^\\s*\\{")
     status = (
@@ -56,29 +58,44 @@ def explode_items(parsed: DataFrame, *ids: str) -> DataFrame:
     return explode_rows(usable, *ids, array="items", pos="item_pos", item="item")
 
 
+def entity_flags(entity: Column) -> Column:
+    """What is wrong with one entity: its fields are taken out once and then tested."""
+
+    def flags(fields: Column) -> Column:
+        there = fields.isNotNull()
+        at = lambda f: F.try_element_at(fields, F.lit(f))
+        window = at("context_window")
+        return F.struct(
+            (~there).alias("entity"),
+            *[(there & ~is_string(at(f))).alias(f) for f in REQUIRED_ENTITY_FIELDS],
+            (window.isNotNull() & ~is_string(window)).alias("context_window"),
+        )
+
+    return let(object_fields(entity), flags)
+
+
 def item_errors(item: Column, entities: Column) -> Column:
     """Names of the rules an item breaks; empty for a valid one."""
-    given = variant_at(item, "$.entities").isNotNull()
 
-    def some(test) -> Column:
-        return F.coalesce(F.exists(entities, test), F.lit(False))
-
-    def lacks(f: str) -> Column:
-        return some(lambda e: is_object(e) & ~is_string(variant_at(e, f"$.{f}")))
+    def named(flags: Column) -> Column:
+        def some(f: str) -> Column:
+            return F.coalesce(F.exists(flags, lambda e: e[f]), F.lit(False))
+
+        checks = [
+            F.when(~is_string(variant_at(item, "$.text")), "text_not_string"),
+            F.when(
+                entities.isNull() & variant_at(item, "$.entities").isNotNull(), "entities_not_list"
+            ),
+            F.when(some("entity"), "entity_not_object"),
+            *[F.when(some(f), f"{f}_not_string") for f in REQUIRED_ENTITY_FIELDS],
+            F.when(some("context_window"), "context_window_not_string"),
+        ]
+        whole = F.array(F.lit("item_not_object"))
+        return F.when(object_fields(item).isNull(), whole).otherwise(
+            F.array_compact(F.array(*checks))
+        )
 
-    window = "$.context_window"
-    checks = [
-        F.when(~is_string(variant_at(item, "$.text")), "text_not_string"),
-        F.when(given & entities.isNull(), "entities_not_list"),
-        F.when(some(lambda e: ~is_object(e)), "entity_not_object"),
-        *[F.when(lacks(f), f"{f}_not_string") for f in REQUIRED_ENTITY_FIELDS],
-        F.when(
-            some(lambda e: variant_at(e, window).isNotNull() & ~is_string(variant_at(e, window))),
-            "context_window_not_string",
-        ),
-    ]
-    whole = F.array(F.lit("item_not_object"))
-    return F.when(~is_object(item), whole).otherwise(F.array_compact(F.array(*checks)))
+    return let(F.transform(entities, entity_flags), named)
 
 
 def validate_annotations(items: DataFrame, item: str = "item") -> DataFrame:
@@ -125,6 +142,26 @@ def count_accepted(parsed: DataFrame, out: str = "accepted") -> DataFrame:
     return evaluate_once(parsed, **{out: F.when(usable, n).otherwise(F.lit(0).cast("bigint"))})
 
 
+def first_usable(
+    df: DataFrame,
+    job: str = "job_id",
+    batch: str = "batch_id",
+    attempt: str = "attempt",
+    status: str = "status",
+    value: str = "accepted",
+) -> DataFrame:
+    """``(job, batch, accepted)`` of the first usable attempt of every batch.
+
+    Later successes of a batch do not count again, and batches without a usable
+    attempt are left out. Attempts combine before the shuffle.
+    """
+    return (
+        df.where(F.col(status) == "ok")
+        .groupBy(job, batch)
+        .agg(F.min_by(value, attempt).alias(value))
+    )
+
+
 def progress(
     df: DataFrame,
     job: str = "job_id",
@@ -134,16 +171,35 @@ def progress(
 ) -> DataFrame:
     """Accepted so far and items remaining, per job in batch order.
 
-    Remaining may go below zero. The input is read twice, so store counts that
-    are costly to get. Sums run inside stretches of batches and are
-    joined with the stretches' offsets, so a job with very many batches does not
-    end up in one task.
+    One row per job and batch is expected (see :func:`first_usable`). Remaining may
+    go below zero. The input is read once: counts are gathered per stretch of
+    batches, stretches get their offsets in job order, and batches are summed up
+    inside their stretch.
     """
-    stretches = value_buckets(batch, BATCHES_PER_BUCKET)
-    running = running_total(
-        df, [batch], stretches, "accepted_so_far", by=[job], value=F.col(accepted)
+    stretch = F.floor(F.col(batch) / F.lit(BATCHES_PER_BUCKET)).cast("bigint")
+    rows = df.select(
+        job, batch, F.col(accepted).alias("accepted"), F.col(total).alias("total"), stretch.alias("stretch")
+    )
+    gathered = rows.groupBy(job, "stretch").agg(
+        F.collect_list(F.struct(F.col(batch).alias("batch"), "accepted", "total")).alias("rows"),
+        F.sum("accepted").alias("sum"),
+    )
+    earlier = Window.partitionBy(job).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = gathered.withColumn("offset", F.coalesce(F.sum("sum").over(earlier), F.lit(0)))
+    inside = Window.partitionBy(job, "stretch").orderBy("r.batch")
+    so_far = F.col("offset") + F.sum("r.accepted").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        offsets.select(job, "stretch", "offset", F.explode("rows").alias("r"))
+        .withColumn("accepted_so_far", so_far.cast("bigint"))
+        .select(
+            job,
+            F.col("r.batch").alias(batch),
+            F.col("r.accepted").alias(accepted),
+            F.col("r.total").alias(total),
+            "accepted_so_far",
+            (F.col("r.total") - F.col("accepted_so_far")).alias("remaining"),
+        )
     )
-    return running.withColumn("remaining", F.col(total) - F.col("accepted_so_far"))
 
 
 def pending_requests(

@@ -93,10 +93,11 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, '{"text": null, "entities": null}')
         .when(kind == 3, '{"entities": []}')
         .when(kind == 4, F.replace("text", F.lit("\n"), F.lit(" ")))
-        .when(kind == 5, cat("[1, ", doc, "]"))
+        .when(kind == 5, cat("[1, ", q, "]"))
         .when(
             kind == 6,
-            cat('{"text": ', doc, ', "entities": [{"mention": 7, "type": true, "assertion": null}]}'),
+            cat('{"text": ', doc, ', "entities": [{"mention": 7, "type": true, "assertion": null, ',
+                '"context_window": ', q, "}]}"),
         )
         .when(kind == 7, "")
         .otherwise(cat('{"text": ', q, ', "entities": [1, 2]}'))
@@ -140,6 +141,11 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             item_kind == "4",
             F.concat(F.lit('{"note_id": 1, "text": '), q, F.lit(', "entities": '), ents, F.lit("}")),
         )
+        .when(
+            item_kind == "5",
+            F.concat(F.lit('{"text": "first", "text": '), q, F.lit(', "entities": '), ents, F.lit("}")),
+        )
+        .when(item_kind == "6", F.concat(F.lit('{"text": NaN, "entities": '), ents, F.lit("}")))
         .otherwise(F.concat(F.lit('{"text": '), q, F.lit(', "entities": '), ents, F.lit("}")))
     )
     resp_id = F.floor(F.col("doc_id") / F.lit(10)).cast("bigint")
@@ -179,6 +185,28 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def response_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with retries: an empty answer before every fourth, every fifth twice."""
+    empty = F.struct(F.lit(1).cast("bigint").alias("attempt"), F.lit('{"items": []}').alias("raw"))
+    given = lambda n: F.struct(F.lit(n).cast("bigint").alias("attempt"), "raw")
+    sent = F.array_compact(
+        F.array(
+            F.when(F.col("resp_id") % 4 == 0, empty),
+            given(2),
+            F.when(F.col("resp_id") % 5 == 0, given(3)),
+        )
+    )
+    rows = responses(spark, sf_dir).withColumn("sent", F.explode(sent)).drop("attempt", "raw")
+    return rows.select("*", "sent.attempt", "sent.raw").drop("sent")
+
+
+def generation_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job per hundred documents, in requests of ten."""
+    job = F.floor(F.col("doc_id") / F.lit(100)).cast("bigint").alias("job_id")
+    per_job = table(spark, sf_dir, "documents").groupBy(job).agg(F.count(F.lit(1)).alias("total"))
+    return per_job.withColumn("batch_size", F.lit(10)).withColumn("tokens", F.lit(200))
+
+
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generation job per customer, sizes taken from its numbers."""
     c = table(spark, sf_dir, "customer")
@@ -207,24 +235,48 @@ def sharegpt(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _first(role: str) -> Column:
-    mine = F.col("role") == role
-    return F.min_by(F.when(mine, F.col("text")), F.when(mine, F.col("turn")))
+def exchanges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn with the assistant turn that follows it, ``""`` where none does.
 
+    ``(conv_id, turn, task, input, expected_output)``; the task is the text of the
+    conversation's system turns.
+    """
 
-def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per conversation: system text, first user text, first assistant text."""
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.coalesce(_first("system"), F.lit("Answer the user.")).alias("task"),
-        F.coalesce(_first("user"), F.lit("")).alias("input"),
-        F.coalesce(_first("assistant"), F.lit("")).alias("expected_output"),
+    def one(messages: Column) -> Column:
+        def exchange(m: Column, i: Column) -> Column:
+            reply = F.get(messages, i + 1)
+            return F.struct(
+                i.cast("bigint").alias("turn"),
+                (m["role"] == "user").alias("asked"),
+                m["content"].alias("input"),
+                F.coalesce(F.when(reply["role"] == "assistant", reply["content"]), F.lit("")).alias(
+                    "expected_output"
+                ),
+            )
+
+        return F.filter(F.transform(messages, exchange), lambda e: e["asked"])
+
+    system = F.filter("conversations", lambda m: m["role"] == "system")
+    task = F.array_join(F.transform(system, lambda m: m["content"]), "\n\n")
+    return (
+        conversations(spark, sf_dir)
+        .select(
+            "conv_id",
+            F.when(task == "", "Answer the user.").otherwise(task).alias("task"),
+            F.explode(one(F.col("conversations"))).alias("e"),
+        )
+        .select("conv_id", "e.turn", "task", "e.input", "e.expected_output")
     )
 
 
+def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exchanges(spark, sf_dir)
+
+
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per conversation: first user text and first assistant text."""
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
-        F.coalesce(_first("user"), F.lit("")).alias("problem"),
-        F.coalesce(_first("assistant"), F.lit("")).alias("generated_solution"),
+    return exchanges(spark, sf_dir).select(
+        "conv_id",
+        "turn",
+        F.col("input").alias("problem"),
+        F.col("expected_output").alias("generated_solution"),
     )
-

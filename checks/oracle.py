@@ -103,9 +103,9 @@ dirty AS (
     WHEN 2 THEN '{{"text": null, "entities": null}}'
     WHEN 3 THEN '{{"entities": []}}'
     WHEN 4 THEN replace(text, chr(10), ' ')
-    WHEN 5 THEN '[1, ' || doc_id || ']'
+    WHEN 5 THEN '[1, ' || q || ']'
     WHEN 6 THEN '{{"text": ' || doc_id ||
-      ', "entities": [{{"mention": 7, "type": true, "assertion": null}}]}}'
+      ', "entities": [{{"mention": 7, "type": true, "assertion": null, "context_window": ' || q || '}}]}}'
     WHEN 7 THEN ''
     ELSE '{{"text": ' || q || ', "entities": [1, 2]}}' END AS line
   FROM kinds
@@ -156,6 +156,20 @@ NORM_TARGET = (
     + "), ', ') || ']}'"
 )
 
+
+
+def _raw(items: str) -> str:
+    return f"""CASE kind
+      WHEN '0' THEN substr('{{"items": [' || {items} || ']}}', 1, length({items}) - 7)
+      WHEN '1' THEN '{{"items": [' || {items} || ']}} done'
+      WHEN '2' THEN '[' || {items} || ']'
+      WHEN '3' THEN '{{"items": 3}}'
+      WHEN '4' THEN '{{"results": [' || {items} || ']}}'
+      WHEN '5' THEN '{{"items": [' || {items} || ', {{"entities": []}}]}}'
+      WHEN '7' THEN '{{"items": null}}'
+      ELSE '{{"items": [' || {items} || ']}}' END"""
+
+
 RESPONSES = f"""
 {NOTES},
 etext AS (
@@ -173,31 +187,31 @@ item AS (
     WHEN '3' THEN '{{"text": ' || {js('d.text')} || '}}'
     WHEN '4' THEN '{{"note_id": 1, "text": ' || {js('d.text')} || ', "entities": [' ||
       coalesce(list, '') || ']}}'
-    ELSE '{{"text": ' || {js('d.text')} || ', "entities": [' || coalesce(list, '') || ']}}' END AS item
+    WHEN '5' THEN '{{"text": "first", "text": ' || {js('d.text')} || ', "entities": [' ||
+      coalesce(list, '') || ']}}'
+    WHEN '6' THEN '{{"text": NaN, "entities": [' || coalesce(list, '') || ']}}'
+    ELSE '{{"text": ' || {js('d.text')} || ', "entities": [' || coalesce(list, '') || ']}}' END AS item,
+    -- The same item as it is read: the last of repeated keys, any number for NaN.
+    CASE substr(md5('item:' || d.doc_id), 1, 1)
+    WHEN '5' THEN '{{"text": ' || {js('d.text')} || ', "entities": [' || coalesce(list, '') || ']}}'
+    WHEN '6' THEN '{{"text": 0, "entities": [' || coalesce(list, '') || ']}}' END AS as_read
   FROM documents d LEFT JOIN etext USING (doc_id)
 ),
 joined AS (
   SELECT doc_id // 10 AS resp_id, substr(md5('resp:' || (doc_id // 10)), 1, 1) AS kind,
-    string_agg(item, ', ' ORDER BY doc_id) AS items
+    string_agg(item, ', ' ORDER BY doc_id) AS given,
+    string_agg(coalesce(as_read, item), ', ' ORDER BY doc_id) AS read
   FROM item
   WHERE substr(md5('resp:' || (doc_id // 10)), 1, 1) <> '6' OR doc_id % 10 <> 9
   GROUP BY ALL
 ),
 resp AS (
   SELECT resp_id, resp_id // 10 AS job_id, resp_id % 10 AS batch_id, 10::BIGINT AS expected,
-    CASE kind
-      WHEN '0' THEN substr('{{"items": [' || items || ']}}', 1, length(items) - 7)
-      WHEN '1' THEN '{{"items": [' || items || ']}} done'
-      WHEN '2' THEN '[' || items || ']'
-      WHEN '3' THEN '{{"items": 3}}'
-      WHEN '4' THEN '{{"results": [' || items || ']}}'
-      WHEN '5' THEN '{{"items": [' || items || ', {{"entities": []}}]}}'
-      WHEN '7' THEN '{{"items": null}}'
-      ELSE '{{"items": [' || items || ']}}' END AS raw
+    {_raw('given')} AS raw, {_raw('read')} AS read_raw
   FROM joined
 ),
 rdoc AS (
-  SELECT *, CASE WHEN json_valid(raw) THEN raw::JSON END AS j FROM resp
+  SELECT *, CASE WHEN json_valid(read_raw) THEN read_raw::JSON END AS j FROM resp
 ),
 parsed AS (
   SELECT *, CASE
@@ -250,11 +264,15 @@ VALID_LIST = (
 
 TRIPLES = """
 triple AS (
-  SELECT conv_id,
-    coalesce(arg_min(text, turn) FILTER (WHERE role = 'system'), 'Answer the user.') AS task,
-    coalesce(arg_min(text, turn) FILTER (WHERE role = 'user'), '') AS input,
-    coalesce(arg_min(text, turn) FILTER (WHERE role = 'assistant'), '') AS output
-  FROM conversations GROUP BY conv_id
+  SELECT c.conv_id, row_number() OVER w - 1 AS turn, c.role, c.text AS input,
+    coalesce(s.task, 'Answer the user.') AS task,
+    CASE WHEN lead(c.role) OVER w = 'assistant' THEN lead(c.text) OVER w ELSE '' END AS output
+  FROM conversations c LEFT JOIN (
+    SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS task
+    FROM conversations WHERE role = 'system' GROUP BY conv_id
+  ) s USING (conv_id)
+  WINDOW w AS (PARTITION BY c.conv_id ORDER BY c.turn)
+  QUALIFY c.role = 'user'
 )
 """
 
@@ -476,10 +494,10 @@ ORACLES["annotation_messages_note_tag"] = with_(TARGETS) + three_turns(
     "doc_id", annotated(EXTRACTION_NOTE_TAG_PROMPT), "target"
 )
 ORACLES["triple_messages"] = with_(TRIPLES) + three_turns(
-    "conv_id", [("system", "task"), ("user", "input"), ("assistant", "output")], "triple"
+    "conv_id, turn", [("system", "task"), ("user", "input"), ("assistant", "output")], "triple"
 )
 ORACLES["pair_messages"] = with_(TRIPLES) + three_turns(
-    "conv_id", [("user", "input"), ("assistant", "output")], "triple"
+    "conv_id, turn", [("user", "input"), ("assistant", "output")], "triple"
 )
 ORACLES["standardize_sharegpt"] = """
 SELECT conv_id, (count(*) FILTER (WHERE role = 'system') OVER (PARTITION BY conv_id))::BIGINT
@@ -606,7 +624,7 @@ SELECT doc_id, length(text) > 8192 AS was_truncated, substr(text, 1, 8192) AS te
 """
 ORACLES["pack_sequences"] = """
 WITH sized AS (
-  SELECT doc_id, ceil(n_chars / 4.0)::BIGINT AS n, md5('0::' || doc_id) AS k FROM documents
+  SELECT doc_id, ceil(length(text) / 4.0)::BIGINT AS n, md5('0::' || doc_id) AS k FROM documents
 ),
 placed AS (
   SELECT *, ('0x' || substr(k, 1, 8))::UBIGINT::BIGINT
@@ -644,7 +662,7 @@ FROM planned
 
 # Responses
 R = with_(RESPONSES)
-ORACLES["parse_status"] = R + "SELECT resp_id, json_valid(raw) AS is_json FROM resp"
+ORACLES["parse_status"] = R + "SELECT resp_id, json_valid(read_raw) AS is_json FROM resp"
 ORACLES["contract_status"] = R + "SELECT resp_id, status FROM parsed"
 ORACLES["item_count_mismatch"] = R + """
 SELECT resp_id, expected, n_items, coalesce(n_items <> expected, false) AS count_mismatch
@@ -675,21 +693,44 @@ FROM checked WHERE errors = ''
 ORACLES["rejected_item_rows"] = R + (
     "SELECT resp_id, item_pos, errors FROM checked WHERE errors <> ''"
 )
-ORACLES["generation_progress"] = R + """
+USABLE = """
 , good AS (
   SELECT resp_id, count(*) FILTER (WHERE errors = '') AS accepted FROM checked GROUP BY resp_id
 ),
-counted AS (
-  SELECT job_id, batch_id, coalesce(accepted, 0)::BIGINT AS accepted, 100::BIGINT AS total
-  FROM resp LEFT JOIN good USING (resp_id)
-),
-running AS (
-  SELECT *, (sum(accepted) OVER (PARTITION BY job_id ORDER BY batch_id
+usable AS (
+  SELECT job_id, batch_id,
+    CASE WHEN resp_id % 4 = 0 THEN 0 ELSE coalesce(accepted, 0) END::BIGINT AS accepted
+  FROM parsed LEFT JOIN good USING (resp_id) WHERE resp_id % 4 = 0 OR status = 'ok'
+)
+"""
+ORACLES["generation_progress"] = R + USABLE + """
+, running AS (
+  SELECT *, 100::BIGINT AS total, (sum(accepted) OVER (PARTITION BY job_id ORDER BY batch_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS accepted_so_far
-  FROM counted
+  FROM usable
 )
 SELECT *, total - accepted_so_far AS remaining FROM running
 """
+ORACLES["generation_followups"] = R + USABLE + """
+, per_job AS (
+  SELECT doc_id // 100 AS job_id, count(*) AS total FROM documents GROUP BY 1
+),
+asked AS (
+  SELECT job_id, total, batch_id, least(10, total - batch_id * 10) AS count
+  FROM (SELECT *, unnest(range((total + 9) // 10)) AS batch_id FROM per_job)
+),
+state AS (
+  SELECT job_id, max(batch_id) + 1 AS next, (any_value(total) - sum(coalesce(accepted, count)))::BIGINT AS missing
+  FROM asked LEFT JOIN usable USING (job_id, batch_id) GROUP BY job_id
+),
+slots AS (
+  SELECT *, unnest(range((missing + 9) // 10)) AS i FROM state WHERE missing > 0
+)
+SELECT job_id, next + i AS batch_id, 200::BIGINT AS tokens, least(10, missing - 10 * i) AS want,
+  least(10, missing - 10 * i) AS count, missing - 10 * i AS remaining_before, false AS shrunk,
+  400 * least(10, missing - 10 * i) AS max_output_tokens
+FROM slots
+"""
 ORACLES["pending_requests"] = R + """
 , per_job AS (
   SELECT doc_id // 100 AS job_id, count(*) AS total FROM documents GROUP BY 1
@@ -787,28 +828,28 @@ SELECT doc_id, '<|begin_of_text|><|start_header_id|>system<|end_header_id|>' ||
 FROM norm
 """
 ORACLES["instruction_training_rows"] = with_(TRIPLES) + """
-SELECT conv_id, '<start_of_turn>user' || chr(10) || task || chr(10) || chr(10) || input ||
+SELECT conv_id, turn, '<start_of_turn>user' || chr(10) || task || chr(10) || chr(10) || input ||
   '<end_of_turn>' || chr(10) || '<start_of_turn>model' || chr(10) || output || '<end_of_turn>' ||
   chr(10) AS text
 FROM triple
 """
 ORACLES["reasoning_chat_rows"] = with_(TRIPLES) + f"""
 , chat AS (
-  SELECT conv_id, string_agg({CHATML_TURN}, '' ORDER BY turn) AS text
+  SELECT conv_id::VARCHAR AS id, string_agg({CHATML_TURN}, '' ORDER BY turn) AS text
   FROM conversations GROUP BY conv_id
 ),
 picked AS (
   SELECT * FROM chat
-  QUALIFY row_number() OVER (ORDER BY md5('2407::' || conv_id), conv_id)
+  QUALIFY row_number() OVER (ORDER BY md5('2407::' || id), id)
     <= (SELECT trunc(count(*) * (0.25::DOUBLE / 0.75::DOUBLE)) FROM triple)
 ),
 both_parts AS (
-  SELECT conv_id, 'reasoning' AS source, '<|im_start|>user' || chr(10) || input || '<|im_end|>' ||
-    chr(10) || '<|im_start|>assistant' || chr(10) || output || '<|im_end|>' || chr(10) AS text
+  SELECT conv_id || '.' || turn AS id, 'reasoning' AS source, '<|im_start|>user' || chr(10) || input ||
+    '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || output || '<|im_end|>' || chr(10) AS text
   FROM triple
-  UNION ALL SELECT conv_id, 'chat' AS source, text FROM picked
+  UNION ALL SELECT id, 'chat' AS source, text FROM picked
 )
-SELECT conv_id, source, text, row_number() OVER (
-  ORDER BY md5('3407:' || source || ':' || conv_id), source, conv_id) - 1 AS pos
+SELECT id, source, text, row_number() OVER (
+  ORDER BY md5('3407:' || source || ':' || id), source, id) - 1 AS pos
 FROM both_parts
 """

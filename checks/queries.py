@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from chatloom.fixed_values import EXTRACTION_NOTE_TAG_PROMPT, EXTRACTION_SYSTEM_PROMPT
 from chatloom.functions.batching import max_output_tokens, safe_batch
-from chatloom.functions.jsonfmt import entities_json, entity_json, json_string
+from chatloom.functions.jsonfmt import entities_json, json_string
 from chatloom.functions.templates import CHATML, GEMMA, LLAMA, fill_template
-from chatloom.functions.text import preview
+from chatloom.functions.text import estimate_length, preview
 from chatloom.operators import lengths, masking, messages, mixing, normalize, quality
 from chatloom.operators import requests as req
 from chatloom.operators import responses as resp
@@ -229,12 +229,16 @@ def annotation_messages_note_tag(spark, sf):
 
 @query
 def triple_messages(spark, sf):
-    return messages.message_rows(messages.triple_messages(inputs.triples(spark, sf)), "conv_id")
+    return messages.message_rows(
+        messages.triple_messages(inputs.triples(spark, sf)), "conv_id", "turn"
+    )
 
 
 @query
 def pair_messages(spark, sf):
-    return messages.message_rows(messages.pair_messages(inputs.pairs(spark, sf)), "conv_id")
+    return messages.message_rows(
+        messages.pair_messages(inputs.pairs(spark, sf)), "conv_id", "turn"
+    )
 
 
 @query
@@ -446,8 +450,7 @@ def truncate_examples_chars4(spark, sf):
 
 @query
 def pack_sequences(spark, sf):
-    d = documents(spark, sf).select("doc_id", "n_chars")
-    d = d.withColumn("n", F.ceil(F.col("n_chars") / F.lit(4)).cast("bigint")).drop("n_chars")
+    d = documents(spark, sf).select("doc_id", estimate_length("text", "chars4").alias("n"))
     return lengths.pack(d, "n", 2048, id="doc_id", seed=0, packs_per_bucket=16)
 
 
@@ -544,22 +547,26 @@ def rejected_item_rows(spark, sf):
     return rows.select("resp_id", "item_pos", F.array_join("errors", ",").alias("errors"))
 
 
+def _accepted(spark, sf):
+    counted = resp.count_accepted(resp.parse_responses(inputs.response_attempts(spark, sf)))
+    return resp.first_usable(counted)
+
+
 @query
 def generation_progress(spark, sf):
-    counted = resp.count_accepted(_parsed(spark, sf)).select(
-        "job_id", "batch_id", "accepted", F.lit(100).cast("bigint").alias("total")
-    )
-    return resp.progress(counted)
+    total = F.lit(100).cast("bigint")
+    return resp.progress(_accepted(spark, sf).withColumn("total", total))
+
+
+@query
+def generation_followups(spark, sf):
+    jobs = inputs.generation_jobs(spark, sf)
+    return req.followup_requests(jobs, req.plan_requests(jobs), _accepted(spark, sf))
 
 
 @query
 def pending_requests(spark, sf):
-    per_job = documents(spark, sf).select(
-        F.floor(F.col("doc_id") / F.lit(100)).cast("bigint").alias("job_id")
-    ).groupBy("job_id").agg(F.count(F.lit(1)).alias("total"))
-    planned = req.plan_requests(
-        per_job.withColumn("batch_size", F.lit(10)).withColumn("tokens", F.lit(200))
-    )
+    planned = req.plan_requests(inputs.generation_jobs(spark, sf))
     done = _parsed(spark, sf).where(F.col("status") == "ok")
     return resp.pending_requests(planned, done).select("job_id", "batch_id", "want", "count")
 
@@ -634,11 +641,12 @@ def annotation_training_rows(spark, sf):
 
 @query
 def instruction_training_rows(spark, sf):
-    return instruction_training_text(inputs.triples(spark, sf), "conv_id")
+    return instruction_training_text(inputs.triples(spark, sf), "conv_id", "turn")
 
 
 @query
 def reasoning_chat_rows(spark, sf):
-    return reasoning_chat_mix(
-        inputs.pairs(spark, sf), inputs.sharegpt(spark, sf), id="conv_id"
-    )
+    pairs = inputs.pairs(spark, sf)
+    pairs = pairs.withColumn("id", F.concat_ws(".", "conv_id", "turn")).drop("conv_id", "turn")
+    chats = inputs.sharegpt(spark, sf).select(F.col("conv_id").cast("string").alias("id"), "conversations")
+    return reasoning_chat_mix(pairs, chats)

@@ -1,5 +1,4 @@
 import json
-import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,38 +22,44 @@ def test_safe_batch_golden(spark):
     assert sorted(tuple(r) for r in df.collect()) == sorted(GOLDEN)
 
 
-def brute_size(count, tokens):
-    if math.ceil(count * tokens * 1.2) <= 16000:
-        return count
-    return max(1, 16000 // max(1, int(tokens * 1.2)))
-
-
-def brute_plan(job, total, batch, tokens):
-    rows, i = [], 0
-    while total > 0 and batch > 0:
-        want = min(batch, total)
-        count = brute_size(want, tokens)
-        rows.append((job, i, tokens, want, count, total, count < want, min(20000, tokens * count * 2)))
-        total -= count
-        i += 1
-    return rows
-
-
-def test_plan_equals_a_loop(spark, monkeypatch):
-    jobs = [
-        (j, total, batch, tokens)
-        for j, (total, batch, tokens) in enumerate(
-            (t, b, k)
-            for t in (0, 1, 9, 10, 23, 500)
-            for b in (0, 1, 7, 10, 64, 20000)
-            for k in (0, 1, 200, 1334, 1600, 9000)
-        )
-    ] + [(9999, 40000, 13334, 1), (9998, -5, 10, 200)]
-    df = spark.createDataFrame(jobs, "job_id BIGINT, total BIGINT, batch_size BIGINT, tokens BIGINT")
-    want = sorted(row for job in jobs for row in brute_plan(*job))
-    assert sorted(tuple(r) for r in req.plan_requests(df).collect()) == want
-    monkeypatch.setattr(req, "REQUESTS_PER_CHUNK", 7)
-    assert sorted(tuple(r) for r in req.plan_requests(df).collect()) == want
+PLANS = {
+    # total, batch size, tokens: wanted and asked for per request
+    (23, 10, 200): [(10, 10), (10, 10), (3, 3)],
+    (9, 10, 2000): [(9, 6), (3, 3)],
+    (100, 100, 200): [(100, 66), (34, 34)],
+    (3, 2, 20000): [(2, 1), (2, 1), (1, 1)],
+    (40000, 13334, 1): [(13334, 16000), (13334, 16000), (8000, 8000)],
+    (0, 10, 200): [],
+    (-5, 10, 200): [],
+    (7, 0, 200): [],
+}
+
+
+@pytest.mark.parametrize("chunk", [65536, 7])
+def test_plans(spark, monkeypatch, chunk):
+    monkeypatch.setattr(req, "REQUESTS_PER_CHUNK", chunk)
+    jobs = list(PLANS) + [(t, b, k) for t in (1, 10, 500) for b in (1, 7, 64, 20000) for k in (0, 1, 200, 1334, 9000)]
+    df = spark.createDataFrame([(j, *job) for j, job in enumerate(jobs)], "job_id BIGINT, total BIGINT, batch_size BIGINT, tokens BIGINT")
+    rows = {}
+    for r in req.plan_requests(df).orderBy("job_id", "batch_id").collect():
+        rows.setdefault(r.job_id, []).append(r)
+    for j, (total, batch, tokens) in enumerate(jobs):
+        plan = rows.get(j, [])
+        if (total, batch, tokens) in PLANS:
+            assert [(r.want, r["count"]) for r in plan] == PLANS[total, batch, tokens]
+            continue
+        assert [r.batch_id for r in plan] == list(range(len(plan)))
+        assert plan[0].remaining_before == total
+        falls = [a.remaining_before - b.remaining_before for a, b in zip(plan, plan[1:])]
+        assert falls == [r["count"] for r in plan[:-1]]
+        assert plan[-1].remaining_before <= plan[-1]["count"]
+        assert all(r.want == min(batch, r.remaining_before) for r in plan)
+        assert all(r.shrunk == (r["count"] < r.want) and r.max_output_tokens <= 20000 for r in plan)
+
+
+def test_batch_ids_can_continue(spark):
+    df = spark.createDataFrame([(1, 25, 10, 200, 7)], "job_id BIGINT, total BIGINT, batch_size BIGINT, tokens BIGINT, f BIGINT")
+    assert [r.batch_id for r in req.plan_requests(df, first_batch="f").orderBy("batch_id").collect()] == [7, 8, 9]
 
 
 def test_prompts_and_payload(spark):
@@ -162,6 +167,57 @@ def test_progress_of_a_hot_job(spark, monkeypatch):
         assert got[j, b] == (acc[j], t - acc[j])
 
 
+def test_retries_count_once(spark):
+    rows = [
+        (1, 0, 1, "not_json", 0), (1, 0, 2, "ok", 7), (1, 0, 3, "ok", 10),
+        (1, 1, 1, "ok", 20), (1, 1, 2, "ok", 30), (1, 2, 1, "no_items", 0), (2, 0, 1, "ok", 0),
+    ]
+    df = spark.createDataFrame(rows, "job_id BIGINT, batch_id BIGINT, attempt BIGINT, status STRING, accepted BIGINT")
+    once = resp.first_usable(df.repartition(5)).withColumn("total", F.lit(30))
+    assert sorted((r.job_id, r.batch_id, r.accepted) for r in once.collect()) == [(1, 0, 7), (1, 1, 20), (2, 0, 0)]
+    got = {(r.job_id, r.batch_id): (r.accepted_so_far, r.remaining) for r in resp.progress(once).collect()}
+    assert got == {(1, 0): (7, 23), (1, 1): (27, 3), (2, 0): (0, 30)}
+
+
+def test_followups_ask_for_what_is_short(spark):
+    jobs = spark.createDataFrame(
+        [(1, 25, 10, 200), (2, 10, 10, 200), (3, 10, 10, 200), (4, 0, 10, 200), (5, 3, 10, 200)],
+        "job_id BIGINT, total BIGINT, batch_size BIGINT, tokens BIGINT",
+    )
+    asked = req.plan_requests(jobs.where("job_id <> 5"))
+    # Job 1: 2 of 10, nothing of 10, and 5 not answered yet. Job 2: all. Job 3: not answered.
+    accepted = spark.createDataFrame([(1, 0, 2), (1, 1, 0), (2, 0, 12)], "job_id BIGINT, batch_id BIGINT, accepted BIGINT")
+    rows = req.followup_requests(jobs, asked, accepted).orderBy("job_id", "batch_id").collect()
+    assert [(r.job_id, r.batch_id, r["count"]) for r in rows] == [(1, 3, 10), (1, 4, 8), (5, 0, 3)]
+
+
+def test_accepted_json_is_what_json_loads_accepts(spark):
+    texts = [
+        '{"items": [{"text": "a", "text": "b"}]}', '{"items": [], "items": [{"text": "x"}]}',
+        '{"items": [{"text": NaN}, {"text": "NaN, -Infinity"}, {"score": -Infinity, "text": "t"}]}',
+        '{"items": [NaN], "x": "a \\" NaN"}', '{"items": [NaN}', '{"items": [NotANumber]}',
+    ]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "batch_id INT, raw STRING, expected INT")
+    parsed = resp.parse_responses(df)
+    status = {r.batch_id: r.status for r in parsed.collect()}
+    for i, text in enumerate(texts):
+        try:
+            json.loads(text)
+            assert status[i] == "ok"
+        except ValueError:
+            assert status[i] == "not_json"
+    rows = resp.validate_annotations(resp.explode_items(parsed, "batch_id")).orderBy("batch_id", "item_pos").collect()
+    assert [r.text for r in rows if r.valid] == ["b", "x", "NaN, -Infinity", "t"]
+    assert rows[2].errors == ["text_not_string"]
+
+
+def test_responses_are_read_once_for_progress(spark, small):
+    from checks.queries import QUERIES
+
+    plan = QUERIES["generation_progress"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "FileScan" in line]) == 1
+
+
 def test_many_answers_to_one_request_collapse_early(spark):
     wanted = spark.range(3).select(F.lit(1).alias("job_id"), F.col("id").alias("batch_id"))
     answers = spark.range(3000).select(F.lit(1).alias("job_id"), F.lit(0).cast("bigint").alias("batch_id"))

@@ -53,7 +53,7 @@ def test_json_text_has_to_be_one_document(spark):
         '1],[2': False,
         "": False,
         " ": False,
-        "NaN": False,
+        "NaN": True,
         '{"a": }': False,
     }
     df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "raw STRING")
