@@ -21,10 +21,13 @@ def fill_template(template: str, **values: Column | str) -> Column:
 
     The template is cut into literal and column pieces once, on the driver.
     Values are never scanned for placeholders, so a note holding ``{count}``
-    stays verbatim. A missing value counts as ``""``.
+    stays verbatim. A missing value counts as ``""``. Format specs and conversions
+    are an error.
     """
     pieces: list[Column] = []
-    for literal, name, _, _ in Formatter().parse(template):
+    for literal, name, spec, conversion in Formatter().parse(template):
+        if spec or conversion:
+            raise ValueError(f"placeholder {name!r} has a format spec or a conversion")
         if literal:
             pieces.append(F.lit(literal))
         if name is not None:
@@ -100,11 +103,21 @@ def _is_system(m: Column) -> Column:
     return m["role"] == "system"
 
 
-def _fold_system(messages: Column) -> Column:
-    system = F.array_join(
-        F.transform(F.filter(messages, _is_system), lambda m: m["content"]), "\n\n"
-    )
-    rest = F.filter(messages, lambda m: ~F.coalesce(_is_system(m), F.lit(False)))
+def system_text(messages: Column) -> Column:
+    """The system turns of a conversation as one text."""
+    system = F.filter(messages, _is_system)
+    return F.array_join(F.transform(system, lambda m: m["content"]), "\n\n")
+
+
+def without_system(messages: Column) -> Column:
+    return F.filter(messages, lambda m: ~F.coalesce(_is_system(m), F.lit(False)))
+
+
+def fold_system(messages: Column, system: Column) -> Column:
+    """Other than system turns, the text ``system`` in front of the first user turn.
+
+    Where there is no user turn, it becomes one at the start.
+    """
 
     def fold(parts: Column) -> Column:
         first_user = F.array_position(F.transform(parts["rest"], lambda m: m["role"]), "user")
@@ -124,20 +137,11 @@ def _fold_system(messages: Column) -> Column:
             .otherwise(folded)
         )
 
-    return let(F.struct(rest.alias("rest"), system.alias("system")), fold)
+    return let(F.struct(without_system(messages).alias("rest"), system.alias("system")), fold)
 
 
-def render_chat(
-    messages: Column | str, spec: TemplateSpec, add_generation_prompt: bool = False
-) -> Column:
-    """Write a conversation (array of ``{role, content}``) as one training text."""
-    messages = as_column(messages)
-    if spec.system_policy == "fold_into_first_user":
-        messages = _fold_system(messages)
-    elif spec.system_policy == "drop":
-        messages = F.filter(messages, lambda m: ~F.coalesce(_is_system(m), F.lit(False)))
-    elif spec.system_policy != "keep":
-        raise ValueError(f"unknown system policy {spec.system_policy!r}")
+def render_turns(messages: Column, spec: TemplateSpec) -> Column:
+    """The turns one after the other, as they are, without marks around them."""
 
     def role(m: Column) -> Column:
         out = F.coalesce(m["role"], F.lit(""))
@@ -155,7 +159,21 @@ def render_chat(
             F.lit(spec.end_of_turn),
         )
 
-    pieces = [F.array_join(F.transform(messages, turn), "")]
+    return F.array_join(F.transform(messages, turn), "")
+
+
+def render_chat(
+    messages: Column | str, spec: TemplateSpec, add_generation_prompt: bool = False
+) -> Column:
+    """Write a conversation (array of ``{role, content}``) as one training text."""
+    messages = as_column(messages)
+    if spec.system_policy == "fold_into_first_user":
+        messages = fold_system(messages, system_text(messages))
+    elif spec.system_policy == "drop":
+        messages = without_system(messages)
+    elif spec.system_policy != "keep":
+        raise ValueError(f"unknown system policy {spec.system_policy!r}")
+    pieces = [render_turns(messages, spec)]
     if spec.bos:
         pieces.insert(0, F.lit(spec.bos))
     if add_generation_prompt:

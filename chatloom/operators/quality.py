@@ -34,22 +34,42 @@ def _n_entities(entities: str = "entities") -> Column:
     return F.size(entities).cast("bigint")
 
 
+def _missing(value: Column) -> Column:
+    return F.coalesce(value, F.lit("")) == ""
+
+
+def _fails(test: Column) -> Column:
+    """A test on a missing value counts as failed."""
+    return F.coalesce(test, F.lit(True))
+
+
 def _absent(field: str, text: str) -> tuple[Column, Column]:
-    """Entities whose ``field`` is not in the note: exact, and ignoring case."""
-    exact = count_entities(lambda e: ~F.contains(F.col(text), e[field]))
+    """Entities whose ``field`` is not in the note: exact, and ignoring case.
+
+    An empty or missing field is in no note.
+    """
+    exact = count_entities(
+        lambda e: _missing(e[field]) | _fails(~F.contains(F.col(text), e[field]))
+    )
     nocase = let(
-        F.lower(text), lambda low: count_entities(lambda e: ~F.contains(low, F.lower(e[field])))
+        F.lower(text),
+        lambda low: count_entities(
+            lambda e: _missing(e[field]) | _fails(~F.contains(low, F.lower(e[field])))
+        ),
     )
     return exact, nocase
 
 
 def check_enums(df: DataFrame) -> DataFrame:
-    """Entities with a type or assertion outside the label sets."""
+    """Entities with a type or assertion outside the label sets, missing ones included."""
     return (
         df.withColumn("n_entities", _n_entities())
-        .withColumn("n_bad_type", count_entities(lambda e: ~e["type"].isin(*ENTITY_TYPES)))
+        .withColumn("n_bad_type", count_entities(lambda e: _fails(~e["type"].isin(*ENTITY_TYPES))))
+        .withColumn(
+            "n_bad_assertion", count_entities(lambda e: _fails(~e["assertion"].isin(*ASSERTIONS)))
+        )
         .withColumn(
-            "n_bad_assertion", count_entities(lambda e: ~e["assertion"].isin(*ASSERTIONS))
+            "n_missing", count_entities(lambda e: _missing(e["type"]) | _missing(e["assertion"]))
         )
     )
 
@@ -88,38 +108,44 @@ def check_extra_keys(parsed: DataFrame) -> DataFrame:
 
 
 def check_grounding(df: DataFrame, text: str = "text") -> DataFrame:
-    """Mentions that do not occur in their note."""
+    """Mentions that do not occur in their note; ``n_missing`` of them are empty."""
     exact, nocase = _absent("mention", text)
     return (
         df.withColumn("n_entities", _n_entities())
         .withColumn("n_ungrounded", exact)
         .withColumn("n_ungrounded_nocase", nocase)
+        .withColumn("n_missing", count_entities(lambda e: _missing(e["mention"])))
     )
 
 
 def check_context_copied(df: DataFrame, text: str = "text") -> DataFrame:
-    """Context windows that are not copied from their note."""
+    """Context windows that are not copied from their note; ``n_missing`` are empty."""
     exact, nocase = _absent("context_window", text)
     return (
         df.withColumn("n_entities", _n_entities())
         .withColumn("n_not_copied", exact)
         .withColumn("n_not_copied_nocase", nocase)
+        .withColumn("n_missing", count_entities(lambda e: _missing(e["context_window"])))
     )
 
 
 def check_context_shape(df: DataFrame) -> DataFrame:
-    """Context windows of the wrong size, or without their mention."""
+    """Context windows of the wrong size, or without their mention.
+
+    A missing window fails both tests, an empty or missing mention the second.
+    """
     low, high = CONTEXT_WORDS
     return (
         df.withColumn("n_entities", _n_entities())
         .withColumn(
             "n_bad_size",
-            count_entities(lambda e: ~word_count(e["context_window"]).between(low, high)),
+            count_entities(lambda e: _fails(~word_count(e["context_window"]).between(low, high))),
         )
         .withColumn(
             "n_without_mention",
             count_entities(
-                lambda e: ~F.contains(F.lower(e["context_window"]), F.lower(e["mention"]))
+                lambda e: _missing(e["mention"])
+                | _fails(~F.contains(F.lower(e["context_window"]), F.lower(e["mention"])))
             ),
         )
     )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.fixed_values import EXTRACTION_NOTE_TAG_PROMPT, EXTRACTION_USER_PROMPT
 from chatloom.functions.templates import CHATML, GEMMA, LLAMA, TemplateSpec
 from chatloom.operators.messages import (
     annotation_messages,
@@ -23,10 +26,37 @@ def annotation_training_text(
     line: str = "value",
     spec: TemplateSpec = LLAMA,
     bad_lines: str = "fail",
+    user_template: str = EXTRACTION_USER_PROMPT,
 ) -> DataFrame:
     """Raw annotation lines -> normalized -> messages -> ``text``. One narrow map."""
     notes = normalize_annotations(lines, line, bad_lines)
-    return render_conversations(annotation_messages(notes), spec).select(*ids, "text")
+    built = annotation_messages(notes, user_template=user_template)
+    return render_conversations(built, spec).select(*ids, "text")
+
+
+def annotation_training_splits(
+    splits: dict[str, DataFrame | None],
+    *ids: str,
+    line: str = "value",
+    spec: TemplateSpec = LLAMA,
+    bad_lines: str = "fail",
+    user_template: str = EXTRACTION_NOTE_TAG_PROMPT,
+) -> DataFrame:
+    """Lines of named splits -> ``(split, ids..., text)``; everything else is dropped.
+
+    The note stands between tags by default. A split without lines is left out, as an
+    optional ``eval`` is.
+    """
+    parts = [
+        annotation_training_text(
+            lines, *ids, line=line, spec=spec, bad_lines=bad_lines, user_template=user_template
+        ).select(F.lit(name).alias("split"), *ids, "text")
+        for name, lines in splits.items()
+        if lines is not None
+    ]
+    if not parts:
+        raise ValueError("no split has lines")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def instruction_training_text(

@@ -49,6 +49,7 @@ def raw_entity(ws: Column, doc_id: Column, i: Column) -> Column:
             .otherwise(words(-2, 4))
             .alias("context_window"),
             c.alias("damage"),
+            F.substring(h, 9, 1).alias("gap"),
         )
 
     return let(F.md5(F.concat(doc_id.cast("string"), F.lit(":"), i.cast("string"))), build)
@@ -71,6 +72,19 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_notes(spark, sf_dir).select("doc_id", "source", "text", clean.alias("entities"))
 
 
+def gappy_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotated notes in which a hash takes away or empties some fields."""
+    gaps = {"mention": ("0", "1"), "type": ("2", "3"), "assertion": ("4", "5"), "context_window": ("6", "3")}
+
+    def field(e: Column, f: str) -> Column:
+        null, empty = gaps[f]
+        kept = F.when(e["gap"] == empty, "").otherwise(e[f])
+        return F.when(e["gap"] != null, kept).alias(f)
+
+    gappy = F.transform("raw_entities", lambda e: F.struct(*[field(e, f) for f in ENTITY_FIELDS]))
+    return raw_notes(spark, sf_dir).select("doc_id", "source", "text", gappy.alias("entities"))
+
+
 def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotation line per document, in nine regular and irregular shapes."""
     d = table(spark, sf_dir, "documents")

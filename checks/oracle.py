@@ -54,7 +54,7 @@ ents AS (
   FROM (SELECT *, unnest(range(3, len(ws), 40)) AS i FROM words)
 ),
 ent AS (
-  SELECT doc_id, i, substr(h, 5, 1) AS damage,
+  SELECT doc_id, i, substr(h, 5, 1) AS damage, substr(h, 9, 1) AS gap,
     ws[i + 1] || CASE WHEN substr(h, 5, 1) = '0' THEN '#' ELSE '' END AS mention,
     CASE WHEN substr(h, 5, 1) = '1' THEN 'Other'
          ELSE ['Symptom', 'Diagnosis', 'Treatment'][{digit('h', 1)} % 3 + 1] END AS type,
@@ -530,6 +530,9 @@ ORACLES["render_chatml"] = f"""
 SELECT conv_id, string_agg({CHATML_TURN}, '' ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id
 """
+ORACLES["render_conversation_parts"] = with_(LLAMA, GEMMA) + """
+SELECT conv_id, llama.text AS llama, gemma.text AS gemma FROM llama JOIN gemma USING (conv_id)
+"""
 ORACLES["render_generation_prompt"] = """
 SELECT doc_id, '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) ||
   '<|im_start|>assistant' || chr(10) AS prompt
@@ -760,26 +763,40 @@ def per_note(**counts: str) -> str:
 SELECT d.doc_id, d.source, coalesce(n_entities, 0)::BIGINT AS n_entities, {outer}
 FROM documents d LEFT JOIN (
   SELECT e.doc_id, count(*) AS n_entities, {cols}
-  FROM ent e JOIN documents n USING (doc_id) GROUP BY e.doc_id
+  FROM (
+    SELECT doc_id,
+      CASE gap WHEN '0' THEN NULL WHEN '1' THEN '' ELSE mention END AS mention,
+      CASE gap WHEN '2' THEN NULL WHEN '3' THEN '' ELSE type END AS type,
+      CASE gap WHEN '4' THEN NULL WHEN '5' THEN '' ELSE assertion END AS assertion,
+      CASE gap WHEN '6' THEN NULL WHEN '3' THEN '' ELSE context_window END AS context_window
+    FROM ent
+  ) e JOIN documents n USING (doc_id) GROUP BY e.doc_id
 ) c USING (doc_id)
 """
 
 
+EMPTY = "coalesce({0}, '') = ''"
 ORACLES["check_enums"] = per_note(
-    n_bad_type="type NOT IN ('Symptom', 'Diagnosis', 'Treatment')",
-    n_bad_assertion="assertion NOT IN ('Positive', 'Negated', 'Possible')",
+    n_bad_type="coalesce(type, '') NOT IN ('Symptom', 'Diagnosis', 'Treatment')",
+    n_bad_assertion="coalesce(assertion, '') NOT IN ('Positive', 'Negated', 'Possible')",
+    n_missing=EMPTY.format("type") + " OR " + EMPTY.format("assertion"),
 )
 ORACLES["check_grounding"] = per_note(
-    n_ungrounded="NOT contains(n.text, mention)",
-    n_ungrounded_nocase="NOT contains(lower(n.text), lower(mention))",
+    n_ungrounded=EMPTY.format("mention") + " OR NOT contains(n.text, mention)",
+    n_ungrounded_nocase=EMPTY.format("mention") + " OR NOT contains(lower(n.text), lower(mention))",
+    n_missing=EMPTY.format("mention"),
 )
 ORACLES["check_context_copied"] = per_note(
-    n_not_copied="NOT contains(n.text, context_window)",
-    n_not_copied_nocase="NOT contains(lower(n.text), lower(context_window))",
+    n_not_copied=EMPTY.format("context_window") + " OR NOT contains(n.text, context_window)",
+    n_not_copied_nocase=EMPTY.format("context_window")
+    + " OR NOT contains(lower(n.text), lower(context_window))",
+    n_missing=EMPTY.format("context_window"),
 )
 ORACLES["check_context_shape"] = per_note(
-    n_bad_size="len(regexp_extract_all(context_window, '\\S+')) NOT BETWEEN 5 AND 12",
-    n_without_mention="NOT contains(lower(context_window), lower(mention))",
+    n_bad_size="context_window IS NULL OR "
+    "len(regexp_extract_all(context_window, '\\S+')) NOT BETWEEN 5 AND 12",
+    n_without_mention="context_window IS NULL OR " + EMPTY.format("mention")
+    + " OR NOT contains(lower(context_window), lower(mention))",
 )
 ORACLES["check_note_length"] = f"""
 SELECT doc_id, {WORDS} AS n_words, {WORDS} * 100 BETWEEN 16000 AND 24000 AS in_range FROM documents
@@ -820,11 +837,19 @@ FROM documents LEFT JOIN ent USING (doc_id) GROUP BY 1
 """
 
 # Whole runs
-ORACLES["annotation_training_rows"] = with_(DIRTY) + f"""
-SELECT doc_id, '<|begin_of_text|><|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) ||
+def annotation_text(user: str) -> str:
+    return f"""'<|begin_of_text|><|start_header_id|>system<|end_header_id|>' || chr(10) || chr(10) ||
   {lit(EXTRACTION_SYSTEM_PROMPT.strip())} || '<|eot_id|>' || {LLAMA_USER} ||
-  trim({filled(EXTRACTION_USER_PROMPT, note="text")}, ' ' || chr(10)) || '<|eot_id|>' ||
-  {LLAMA_REPLY} || {NORM_TARGET} || '<|eot_id|>' AS text
+  trim({filled(user, note="text")}, ' ' || chr(10)) || '<|eot_id|>' ||
+  {LLAMA_REPLY} || {NORM_TARGET} || '<|eot_id|>'"""
+
+
+ORACLES["annotation_training_rows"] = with_(DIRTY) + f"""
+SELECT doc_id, {annotation_text(EXTRACTION_USER_PROMPT)} AS text FROM norm
+"""
+ORACLES["archived_training_rows"] = with_(DIRTY) + f"""
+SELECT CASE WHEN doc_id % 10 = 0 THEN 'eval' ELSE 'train' END AS split, doc_id,
+  {annotation_text(EXTRACTION_NOTE_TAG_PROMPT)} AS text
 FROM norm
 """
 ORACLES["instruction_training_rows"] = with_(TRIPLES) + """

@@ -15,10 +15,15 @@ from chatloom.functions.text import estimate_length, preview
 from chatloom.operators import lengths, masking, messages, mixing, normalize, quality
 from chatloom.operators import requests as req
 from chatloom.operators import responses as resp
-from chatloom.operators.rendering import map_batches, render_conversations
+from chatloom.operators.rendering import (
+    map_batches,
+    render_conversation_parts,
+    render_conversations,
+)
 from chatloom.operators.shaping import explode_rows
 from chatloom.plans.generation import accepted_annotations, rejected_items
 from chatloom.plans.training_text import (
+    annotation_training_splits,
     annotation_training_text,
     instruction_training_text,
     reasoning_chat_mix,
@@ -302,6 +307,19 @@ def render_chatml(spark, sf):
     return _render(spark, sf, CHATML)
 
 
+@named("render_conversation_parts")
+def rendered_parts_joined(spark, sf):
+    parts = messages.assemble_conversations(
+        inputs.table(spark, sf, "conversations"), turns_per_row=2
+    )
+    joined = lambda c: F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("part", c))), lambda p: p[c]), ""
+    ).alias(c)
+    rendered = render_conversation_parts(parts, LLAMA, out="llama")
+    rendered = render_conversation_parts(rendered, GEMMA, out="gemma")
+    return rendered.groupBy("conv_id").agg(joined("llama"), joined("gemma"))
+
+
 @query
 def render_generation_prompt(spark, sf):
     prompts = messages.prompt_messages(documents(spark, sf), user_template="{note}")
@@ -581,7 +599,7 @@ def quarantine(spark, sf):
 
 @query
 def check_enums(spark, sf):
-    return quality.check_enums(inputs.notes(spark, sf)).drop("text", "entities")
+    return quality.check_enums(inputs.gappy_notes(spark, sf)).drop("text", "entities")
 
 
 @query
@@ -597,17 +615,17 @@ def check_extra_keys(spark, sf):
 
 @query
 def check_grounding(spark, sf):
-    return quality.check_grounding(inputs.notes(spark, sf)).drop("text", "entities")
+    return quality.check_grounding(inputs.gappy_notes(spark, sf)).drop("text", "entities")
 
 
 @query
 def check_context_copied(spark, sf):
-    return quality.check_context_copied(inputs.notes(spark, sf)).drop("text", "entities")
+    return quality.check_context_copied(inputs.gappy_notes(spark, sf)).drop("text", "entities")
 
 
 @query
 def check_context_shape(spark, sf):
-    return quality.check_context_shape(inputs.notes(spark, sf)).drop("text", "entities")
+    return quality.check_context_shape(inputs.gappy_notes(spark, sf)).drop("text", "entities")
 
 
 @query
@@ -639,6 +657,14 @@ def annotation_training_rows(spark, sf):
     return annotation_training_text(inputs.dirty_lines(spark, sf), "doc_id", bad_lines="skip")
 
 
+@query
+def archived_training_rows(spark, sf):
+    lines = inputs.dirty_lines(spark, sf)
+    held_out = F.col("doc_id") % 10 == 0
+    splits = {"train": lines.where(~held_out), "eval": lines.where(held_out), "test": None}
+    return annotation_training_splits(splits, "doc_id", bad_lines="skip")
+
+
 @query
 def instruction_training_rows(spark, sf):
     return instruction_training_text(inputs.triples(spark, sf), "conv_id", "turn")

@@ -35,7 +35,7 @@ def test_note_rules(spark):
         1: (2, 1), 2: (0, 0), 3: (0, 0),
     }
     assert values(quality.check_context_copied(df), "n_not_copied", "n_not_copied_nocase") == {
-        1: (1, 0), 2: (0, 0), 3: (0, 0),
+        1: (2, 1), 2: (0, 0), 3: (0, 0),
     }
     assert values(quality.check_context_shape(df), "n_bad_size", "n_without_mention") == {
         1: (2, 1), 2: (0, 0), 3: (1, 0),
@@ -45,6 +45,15 @@ def test_note_rules(spark):
     }
 
 
+def test_missing_fields_fail(spark):
+    rows = [(1, "a note", [(None, None, None, None), ("", "", "", "")]), (2, None, [("m", "Symptom", "Positive", "a")])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert values(quality.check_enums(df), "n_bad_type", "n_bad_assertion", "n_missing") == {1: (2, 2, 2), 2: (0, 0, 0)}
+    assert values(quality.check_grounding(df), "n_ungrounded", "n_ungrounded_nocase", "n_missing") == {1: (2, 2, 2), 2: (1, 1, 0)}
+    assert values(quality.check_context_copied(df), "n_not_copied", "n_missing") == {1: (2, 2), 2: (1, 0)}
+    assert values(quality.check_context_shape(df), "n_bad_size", "n_without_mention") == {1: (2, 2), 2: (1, 1)}
+
+
 def test_label_balance(spark):
     rows = {(r.type, r.assertion, r.level): (r.n, r.share) for r in quality.label_balance(table(spark)).collect()}
     assert rows[None, None, 3] == (4, 1.0)

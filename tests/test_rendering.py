@@ -152,3 +152,49 @@ def test_one_conversation_with_a_third_of_all_turns(spark):
     assert (row.n, row.chars) == (n // 2, want)
     stats = mask_stats(rendered, "conv_id", spec=LLAMA).where("conv_id = 0").first()
     assert stats.trained_chars == want
+
+
+def test_format_specs_are_an_error():
+    for template in ("{a!r}", "{a:>10}"):
+        with pytest.raises(ValueError):
+            fill_template(template, a="a")
+
+
+SYSTEM_PLACES = [
+    ["system", "user", "assistant", "user"], ["user", "system", "assistant"], ["assistant", "assistant", "system", "user"],
+    ["system", "system", "assistant"], ["system"], ["assistant"], ["user", "assistant", "system", "user", "system"],
+]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10])
+def test_parts_join_to_the_whole_text(spark, size):
+    from chatloom.operators.messages import assemble_conversations
+    from chatloom.operators.rendering import render_conversation_parts, render_conversations
+
+    rows = [(c, t + 3 * c, role, f"{role} {t}") for c, roles in enumerate(SYSTEM_PLACES) for t, role in enumerate(roles)]
+    rows += [(None, 0, "user", "no id")]
+    turns = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING").repartition(5)
+    dropping = TemplateSpec("x", "<", ">", "</>", bos="^", system_policy="drop")
+    for spec in (LLAMA, GEMMA, CHATML, dropping):
+        whole = render_conversations(assemble_conversations(turns), spec, add_generation_prompt=True)
+        parts = assemble_conversations(turns, turns_per_row=size)
+        rendered = render_conversation_parts(parts, spec, add_generation_prompt=True)
+        assert rendered.columns == ["conv_id", "part", "conversations", "text"]
+        joined = {}
+        for r in rendered.orderBy("conv_id", "part").collect():
+            joined[r.conv_id] = joined.get(r.conv_id, "") + r.text
+        assert joined == {r.conv_id: r.text for r in whole.collect()}
+
+
+def test_a_million_turns(spark):
+    from chatloom.operators.messages import assemble_conversations
+    from chatloom.operators.rendering import render_conversation_parts
+
+    n = 1_000_000
+    role = F.when(F.col("id") == 0, "system").when(F.col("id") % 2 == 1, "user").otherwise("assistant")
+    turns = spark.range(0, n, 1, 8).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("hi").alias("text"))
+    out = render_conversation_parts(assemble_conversations(turns, turns_per_row=20_000), GEMMA)
+    got = {r.part: (r.n, r.begin) for r in out.select("part", F.length("text").alias("n"), F.col("text").startswith("<bos>").alias("begin")).collect()}
+    user, model = len("<start_of_turn>user\nhi<end_of_turn>\n"), len("<start_of_turn>model\nhi<end_of_turn>\n")
+    assert [p for p, (_, begin) in got.items() if begin] == [0] and len(got) == 50
+    assert sum(size for size, _ in got.values()) == len("<bos>hi\n\n") + n // 2 * user + (n // 2 - 1) * model
