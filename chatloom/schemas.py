@@ -13,13 +13,4 @@ ANNOTATION = T.StructType(
     ]
 )
 
-MESSAGE = T.StructType(
-    [
-        T.StructField("role", T.StringType()),
-        T.StructField("content", T.StringType()),
-    ]
-)
-
-CONVERSATION = T.ArrayType(MESSAGE)
-
 ENTITIES_DDL = "ARRAY<STRUCT<" + ", ".join(f"{f}: STRING" for f in ENTITY_FIELDS) + ">>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.mkdtemp(prefix="chatloom-")
 
