@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -193,10 +194,29 @@ def estimated_costs(
     return costs
 
 
-def link_pairs(distinct: DataFrame, tau: int, parts: int = 3) -> DataFrame:
+def best_parts(n: int, tau: int) -> int:
+    """The number of parts with the least work per fingerprint if bits were even.
+
+    Few fingerprints make probes dear and candidates rare, which favours many parts;
+    with many fingerprints only long parts keep buckets small.
+    """
+
+    def work(parts: int) -> float:
+        costs = np.zeros((1, parts, tau + 2))
+        for part in range(parts):
+            bits = (64 + part) // parts
+            per_probe = PROBE_COST + n / 2.0**bits
+            costs[0, part, 1:] = np.cumsum([comb(bits, e) * per_probe for e in range(tau + 1)])
+        chosen = allocate(costs, tau)[0]
+        return sum(costs[0, part, t + 1] for part, t in enumerate(chosen))
+
+    return min(range(1, tau + 3), key=work)
+
+
+def link_pairs(distinct: DataFrame, tau: int, parts: int | None = None) -> DataFrame:
     """All pairs ``a < b`` of different fingerprints within ``tau`` bits, each once.
 
-    What reaches the driver is of fixed size: 64 x 64 counts of bits set together and
+    The number of parts follows the number of fingerprints unless given. What reaches the driver is of fixed size: 64 x 64 counts of bits set together and
     ``CELLS`` counts per part, both over all fingerprints.
     """
 
@@ -204,8 +224,9 @@ def link_pairs(distinct: DataFrame, tau: int, parts: int = 3) -> DataFrame:
         bits = bit_matrix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)).astype(np.float32)
         return bits.T @ bits
 
-    both = array_sum(distinct, together, (64, 64))
-    groups = bit_groups(both, distinct.count(), parts)
+    both, n = array_sum(distinct, together, (64, 64)), distinct.count()
+    parts = parts or best_parts(n, tau)
+    groups = bit_groups(both, n, parts)
 
     def cells(batch: pa.RecordBatch) -> np.ndarray:
         values = part_values(batch.column(0).to_numpy(zero_copy_only=False), groups)

@@ -59,6 +59,11 @@ def test_thresholds_add_up_and_cost_least():
         assert total(row, chosen[row]) == pytest.approx(min(total(row, t) for t in every))
 
 
+def test_number_of_parts_follows_the_data():
+    chosen = [simhash.best_parts(n, 2) for n in (10, 10**6, 10**9, 10**13)]
+    assert chosen[1:] == [3, 2, 1] and chosen[0] >= 3
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(500, i) for i in range(501, 900)]
