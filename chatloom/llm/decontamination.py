@@ -76,7 +76,13 @@ def fingerprints(
             (s + place(s).cast("int") - 1).alias("at"),
             least(s).alias("hash"),
         )
-        return F.array_distinct(F.transform(starts, entry))
+        # Windows that chose the same gram follow each other.
+        return let(
+            F.transform(starts, entry),
+            lambda all: F.filter(
+                all, lambda e, i: (i == 0) | (F.get(all, i - 1)["at"] != e["at"])
+            ),
+        )
 
     return let(gram_hashes(words, gram), chosen)
 
@@ -195,8 +201,9 @@ def find_hits(
     texts = F.broadcast(texts) if n_prints <= BROADCAST_ROWS else texts
     starts = compared(F.col("words"), F.col("item_words"), F.col("shift"), span)
     spans = (
-        lying.join(marked.select("row", "words"), "row")
-        .join(texts, "item")
+        # Item words first, so that a document's words are never shuffled per meeting.
+        lying.join(texts, "item")
+        .join(marked.select("row", "words"), "row")
         .select(
             "row",
             "item",
