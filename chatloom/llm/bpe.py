@@ -12,12 +12,13 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO_SEGMENTS = 500_000
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 2_000_000
 BLANK_BYTE = "Ġ"  # how byte-level vocabularies write a blank
 
 
@@ -85,16 +86,39 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 
 def encode_segments(texts: list[str], cut: Callable, first: Memo, rest: Memo) -> Iterator[bytes]:
     """Ids of every text. ``cut`` gives a text's segments; the first stands at the
-    text's start, the others follow a blank that is not part of them."""
+    text's start, the others follow a blank that is not part of them. None: the text
+    is cut at every blank."""
     for part in chunks(texts):
-        cuts = [cut(t) if t else [] for t in part]
-        heads = first.hold({c[0] for c in cuts if c})
-        wanted: set[str] = set()
-        for c in cuts:
-            wanted.update(islice(c, 1, None))
-        tail = rest.hold(wanted).__getitem__
-        for c in cuts:
-            yield heads[c[0]] + b"".join(map(tail, islice(c, 1, None))) if c else b""
+        cuts = [cut(t) if t else [""] for t in part]
+        plain = [t for t, c in zip(part, cuts) if c is None]
+        odd = pa.array([c for c in cuts if c is not None], pa.list_(pa.string()))
+        starts = [t[: t.find(" ")] if c is None and " " in t else t if c is None else c[0] for t, c in zip(part, cuts)]
+        heads = first.hold(set(starts).difference([""]))
+        tails = iter(tail_ids(pc.split_pattern(pa.array(plain, pa.string()), " "), rest))
+        odd_tails = iter(tail_ids(odd, rest))
+        for start, c in zip(starts, cuts):
+            tail = next(tails if c is None else odd_tails)
+            yield heads[start] + tail if start else tail
+
+
+def tail_ids(cuts: pa.ListArray, memo: Memo) -> list[bytes]:
+    """The ids of every list's segments but its first."""
+    sizes = pc.list_value_length(cuts).to_numpy(zero_copy_only=False).astype(np.int64)
+    if not len(sizes):
+        return []
+    behind = np.ones(sizes.sum(), bool)
+    behind[np.cumsum(sizes) - sizes] = False
+    words = cuts.flatten().filter(pa.array(behind)).dictionary_encode()
+    if not len(words):
+        return [b""] * len(sizes)
+    distinct = words.dictionary.to_pylist()
+    held = memo.hold(set(distinct))
+    # Arrow lays the taken ids end to end, so a text's ids are one slice of its buffer.
+    ids = pa.array([held[w] for w in distinct], pa.large_binary()).take(words.indices)
+    _, ends, raw = ids.buffers()
+    at = np.frombuffer(ends, np.int64)[np.concatenate(([0], np.cumsum(sizes - 1)))].tolist()
+    raw = memoryview(raw)
+    return [bytes(raw[a:b]) for a, b in zip(at, at[1:])]
 
 
 # White space other than the blank, by Unicode and by Python.
@@ -105,11 +129,11 @@ _OTHER_SPACE = [chr(c) for c in (*range(9, 14), *range(28, 32), 0x85, 0xA0, 0x16
 _BYTE_LEVEL_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def cut_byte_level(text: str) -> list[str]:
+def cut_byte_level(text: str) -> list[str] | None:
     beside = "  " in text or any(c in text and (c + " " in text or " " + c in text) for c in _OTHER_SPACE)
     if beside or text[0] == " " or text[-1] == " ":
         return _BYTE_LEVEL_CUT.split(text)
-    return text.split(" ")
+    return None
 
 
 @lru_cache(maxsize=2)
@@ -141,10 +165,10 @@ def byte_level_ids(texts: list[str], path: str) -> Iterator[bytes]:
 _PIECE_CUT = re.compile("(?<=[^ ▁]) (?=[\\s\\S])")
 
 
-def cut_pieces(text: str) -> list[str]:
+def cut_pieces(text: str) -> list[str] | None:
     if "  " in text or "▁" in text or text[0] == " " or text[-1] == " ":
         return _PIECE_CUT.split(text)
-    return text.split(" ")
+    return None
 
 
 @lru_cache(maxsize=2)

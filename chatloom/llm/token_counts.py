@@ -93,7 +93,7 @@ class UnigramCounter:
                 yield self.count(MARK + text.replace(" ", MARK)) if text else 0
             return
         for part in chunks(texts):
-            cuts = [cut_pieces(t) if t else [] for t in part]
+            cuts = [cut_pieces(t) or t.split(" ") if t else [] for t in part]
             wanted: set[str] = set()
             for c in cuts:
                 wanted.update(c)
