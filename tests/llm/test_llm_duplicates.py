@@ -135,6 +135,24 @@ def test_planted_passages(spark):
     assert passages.occurrences(docs.limit(0)).count() == 0
 
 
+def test_rare_passage_around_a_frequent_notice(spark):
+    """Forty words that all share, and twelve more that pairs and a group share."""
+    r = random.Random(10)
+    notice, rare = prose(r, 40), {}
+    texts = {i: prose(r, 60) + notice + prose(r, 60) for i in range(40)}
+    for pair in range(12):
+        # Each pair is an exact passage of 52 words, and 9 documents share one more.
+        more = prose(r, 12)
+        for i in [100 + 2 * pair, 101 + 2 * pair] if pair < 11 else range(200, 209):
+            texts[i], rare[i] = prose(r, 60) + notice + more + prose(r, 60), pair
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(5)
+    rows = [x for x in passages.occurrences(docs).collect() if x.similarity == 1]
+    assert {x.doc_id for x in rows} == set(rare)
+    assert all(rare[x.doc_id] == rare[x.match_doc_id] and (x.first_word, x.last_word) == (60, 111) for x in rows)
+    least = {pair: min(i for i in rare if rare[i] == pair) for pair in rare.values()}
+    assert {(least[p], i) for i, p in rare.items() if i != least[p]} <= {(x.match_doc_id, x.doc_id) for x in rows}
+
+
 def test_cut_passages(spark):
     texts = planted(random.Random(9))
     texts |= {300: texts[2], 301: "(" + texts[0] + " !"}
