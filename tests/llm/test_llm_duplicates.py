@@ -153,6 +153,25 @@ def test_rare_passage_around_a_frequent_notice(spark):
     assert {(least[p], i) for i, p in rare.items() if i != least[p]} <= {(x.match_doc_id, x.doc_id) for x in rows}
 
 
+def passages_of(a, b):
+    """What two word lists share, over all places that meet, without Spark."""
+    (ka, pa, _), (kb, pb, _) = (passages.window_rows(" ".join(t).encode()) for t in (a, b))
+    i, j = np.nonzero(ka[:, None] == kb)
+    tokens = [passages.shingles_of(passages.words_of(" ".join(t).encode())[2]) for t in (a, b)]
+    return passages.shared_passages(*tokens, pa[i], pb[j]) if len(i) else []
+
+
+def test_near_passage_whose_slogan_also_stands_elsewhere():
+    r, found = random.Random(11), 0
+    for _ in range(20):
+        passage = prose(r, 90)
+        edited = passage[:45] + ["changed"] + passage[46:]
+        a = prose(r, 200) + passage[:7] + prose(r, 53) + passage + prose(r, 200)
+        b = prose(r, 150) + edited + prose(r, 150)
+        found += any(q[0] == 260 and q[2] == 150 and q[3] == 235 for q in passages_of(a, b))
+    assert found >= 17
+
+
 def test_cut_passages(spark):
     texts = planted(random.Random(9))
     texts |= {300: texts[2], 301: "(" + texts[0] + " !"}
