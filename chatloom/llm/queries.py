@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import decontamination, neighbours, passages, pieces, quality, records, sharding, simhash, token_counts, urls
+from chatloom.llm import decontamination, divergence, neighbours, passages, pieces, quality, records, sharding, simhash, token_counts, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,3 +169,48 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_divergence"] = r"""
+with d as (
+  select row_number() over () as k, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+),
+o as (select k, lang, source, unnest(w) as term from d),
+t as (
+  select lang, term, count(*) as n from o group by lang, term having count(distinct k) >= 3
+),
+l as (select lang, count(*) as v, sum(n) as n from t group by lang),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from o group by all),
+gt as (select g.lang, g.source, t.term, coalesce(c.n, 0) as n, t.n as ln
+  from g join t using (lang) left join c using (lang, source, term)),
+gn as (select lang, source, sum(n) as n from gt group by all),
+p as (
+  select gt.lang, gt.source, gt.term, gt.n as c,
+    1 + (1000000000::hugeint * (gt.n + 1)) // (gn.n + l.v) as p,
+    1 + (1000000000::hugeint * (gt.ln + 1)) // (l.n + l.v) as q
+  from gt join gn using (lang, source) join l using (lang)
+),
+pair as (
+  select a.lang, a.source, b.source as item,
+    coalesce((select sum(((x.p - y.p) * (x.p - y.p)) // y.p) from p x join p y using (lang, term)
+      where x.lang = a.lang and x.source = a.source and y.source = b.source), 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+),
+term as (select lang, source, term as item, ((p - q) * (p - q)) // q as value from p where c > 0 and p > q),
+r as (
+  select *, 'pair' as part, row_number() over (partition by lang, source order by value desc, item) as rank from pair
+  union all by name
+  select *, 'term' as part, row_number() over (partition by lang, source order by value desc, item) as rank from term
+  qualify rank <= 200
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank from r
+"""
