@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import decontamination, divergence, neighbours, passages, pieces, quality, records, sharding, simhash, token_counts, urls
+from chatloom.llm import collocations, decontamination, divergence, neighbours, passages, pieces, quality, records, sharding, simhash, token_counts, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +171,46 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+with pieces as (
+  select row_number() over () as k, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece
+  from (select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
+),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+n as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+g as (
+  select lang, t as size, w[s : s + t - 1] as p
+  from (select lang, w, t, unnest(range(1, len(w) - t + 2)) as s from w, range(1, 6) r(t) where len(w) >= t)
+),
+f as (select lang, size, p, count(*) as f from g group by all having count(*) >= 100),
+cut as (
+  select c.lang, c.p, c.size, c.f as a, k, x.f as l, y.f as r, n.n,
+    (1000::hugeint * c.f * n.n) // (x.f::hugeint * y.f) as score
+  from (select *, unnest(range(1, size)) as k from f where size > 1) c
+  join f x on x.lang = c.lang and x.p = c.p[1 : k]
+  join f y on y.lang = c.lang and y.p = c.p[k + 1 : c.size]
+  join n on n.lang = c.lang
+),
+best as (select * from cut qualify row_number() over (partition by lang, p order by score, k) = 1),
+covered as (
+  select distinct c.lang, c.p
+  from f c join (select *, unnest(range(1, size + 1)) as s from f) b
+    on b.lang = c.lang and b.size > c.size and b.p[s : s + c.size - 1] = c.p
+  where c.size > 1 and 100 * b.f >= 100 * c.f
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank,
+  array_to_string(p, ' ') as phrase, a, l, r, n, cast(score as bigint) as score
+from best anti join covered using (lang, p)
+qualify rank <= 2000
+"""
+
+
 @query
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
