@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import collocations, decontamination, divergence, neighbours, passages, pieces, quality, records, sharding, simhash, token_counts, urls
+from chatloom.llm import collocations, decontamination, divergence, neighbours, passages, pieces, quality, records, scoring, sharding, simhash, token_counts, urls
 from chatloom.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +211,11 @@ qualify rank <= 2000
 """
 
 
+@query
+def op12_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
