@@ -8,6 +8,7 @@ in a task. Place 0 is the mark that ends every document.
 
 from __future__ import annotations
 
+import struct
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 BLOCK = (
     "block long, group string, docs array<long>, counted array<boolean>, lengths array<long>, "
     "tokens binary, words array<string>, counts array<long>"
@@ -35,6 +36,25 @@ _ARROW = pa.schema(
 )
 
 
+_PACKED = struct.Struct("<Bq")
+PLACE_BITS = 23  # of a place; the other 40 bits hold its value
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0, byte by byte: all lowest bytes first, then compressed."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return _PACKED.pack(width, len(values)) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    width, n = _PACKED.unpack_from(blob)
+    out = np.zeros((n, 8), np.uint8)
+    data = memoryview(blob)[_PACKED.size :]
+    out[:, :width] = np.frombuffer(pa.decompress(data, width * n, codec="zstd"), np.uint8).reshape(width, n).T
+    return out.view("<i8").ravel()
+
+
 class Places(dict):
     """Words to their places, in order of first use."""
 
@@ -62,19 +82,15 @@ class _Block:
         tokens = np.concatenate(self.parts)
         counted = np.repeat(np.array(self.counted), lengths)
         counts = np.bincount(tokens[counted], minlength=len(self.places))
-        narrow = tokens.astype("<u2" if len(self.places) <= 1 << 16 else "<u4")
+        if len(self.places) >> PLACE_BITS:
+            raise ValueError("a block has too many different words")
         values = (
-            uuid.uuid4().int >> 65, group, self.docs, self.counted, lengths, narrow.tobytes(),
+            uuid.uuid4().int >> 65, group, self.docs, self.counted, lengths, packed(tokens),
             [w.decode() for w in self.places], counts,
         )
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _ARROW)], schema=_ARROW)
 
 
-def tokens_of(blob: bytes, n_words: int) -> np.ndarray:
-    """The places of all tokens of a block of ``n_words`` words."""
-    return np.frombuffer(blob, "<u2" if n_words <= 1 << 16 else "<u4")
-
-
 def tokenized(
     docs: DataFrame, group: Column, doc: Column, counted: Column, text: Column, split: Callable[[bytes], list[bytes]], mark: bytes
 ) -> DataFrame:
@@ -112,13 +128,14 @@ def block_words(blocks: DataFrame) -> DataFrame:
     )
 
 
-def numbered(words: DataFrame, n: str, by: list[str], name: str) -> DataFrame:
-    """The rows with gapless numbers from 0, frequent rows (by powers of two of ``n``) first.
+def numbered(words: DataFrame, n: str, by: list[str], name: str, least: int = 1) -> DataFrame:
+    """The rows with gapless numbers from 0: those of at least ``least`` first, and among
+    them frequent ones (by powers of two of ``n``).
 
     Parts by frequency and hash are numbered on their own and put one behind the other;
     there are some thousand parts at most, whatever the number of rows.
     """
-    level = F.lit(63) - F.floor(F.log2(F.col(n) + F.lit(0.5))).cast("int")
+    level = F.lit(63) - F.floor(F.log2(F.col(n) + F.lit(0.5))).cast("int") + F.when(F.col(n) < least, 64).otherwise(0)
     rows = words.withColumn("part", level * 64 + F.pmod(F.xxhash64(*by), F.lit(64)))
     sizes = rows.groupBy("part").count()
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,8 +146,14 @@ def numbered(words: DataFrame, n: str, by: list[str], name: str) -> DataFrame:
 
 
 def with_columns_of(blocks: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
-    """The blocks with arrays ``places`` and ``columns`` of the rows that ``found`` has for
-    each: ``(block, place, *columns)``."""
-    per_block = found.groupBy("block").agg(F.collect_list(F.struct("place", *columns)).alias("found"))
-    per_block = per_block.select("block", F.col("found.place").alias("places"), *(F.col(f"found.{c}").alias(c) for c in columns))
+    """The blocks with the values that ``found``, ``(block, place, *columns)``, has for their
+    words, each column a list of longs for ``by_place``; null values are left out."""
+    value = lambda c: F.shiftleft(F.col("place").cast("long"), 63 - PLACE_BITS).bitwiseOR(F.col(c).cast("long"))
+    per_block = found.groupBy("block").agg(*(F.collect_list(value(c)).alias(c) for c in columns))
     return blocks.withColumn("n_words", F.size("words")).drop("words", "counts").join(per_block, "block", "left")
+
+
+def by_place(values: np.ndarray, n_words: int, missing: int) -> np.ndarray:
+    out = np.full(n_words, missing, np.int64)
+    out[values >> (63 - PLACE_BITS)] = values & ((1 << (63 - PLACE_BITS)) - 1)
+    return out

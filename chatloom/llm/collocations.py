@@ -37,8 +37,9 @@ from chatloom.llm import blocks as B
 from chatloom.llm.common import materialize
 
 MIN_COUNT, MOST_WORDS, TOP = 100, 5, 2000
-TRIE_PHRASES = 1_000_000
+TRIE_PHRASES = 500_000
 SUM_ROWS = 4_000_000
+WINDOW = 4096  # places of a double array that are tried at once
 BREAK = b"."
 # A-Z lower-cased, a tab a blank, every byte that ends a piece the break.
 PIECE_BYTES = bytes(
@@ -62,42 +63,48 @@ class Trie:
     def of(cls, phrases: np.ndarray) -> Trie:
         """``phrases``: one row of word numbers (from 1) each, sorted and distinct."""
         n, depth = phrases.shape
-        size = max(1024, 2 * int(phrases.max(initial=0)) + 4 * n)
+        size = int(phrases.max(initial=0)) + 2 * n * depth + 2 * WINDOW
         base, check = np.zeros(size, np.int64), np.full(size, -1, np.int32)
         check[0] = -2  # the root's own place
         state_of = np.zeros(n, np.int64)
-        free = 1
         for level in range(depth):
             new = np.ones(n, bool)
             new[1:] = (phrases[1:, : level + 1] != phrases[:-1, : level + 1]).any(axis=1)
             first = np.flatnonzero(new)
             parents, words = state_of[first], phrases[first, level].astype(np.int64)
-            cuts = np.flatnonzero(np.diff(parents)) + 1
-            begin, end = np.r_[0, cuts], np.r_[cuts, len(parents)]
+            begin = np.r_[0, np.flatnonzero(np.diff(parents)) + 1]
+            fan = np.diff(np.r_[begin, len(parents)])
             made = np.zeros(len(parents), np.int64)
+            low = 1
             # Many children first: they need the most room at once.
-            for k in np.argsort(begin - end, kind="stable").tolist():
-                mine = words[begin[k] : end[k]]
-                while check[free] != -1:
-                    free += 1
-                    if free + 1 >= len(check):
-                        check, base = np.r_[check, np.full(len(check), -1, np.int32)], np.r_[base, np.zeros(len(base), np.int64)]
-                at, tries = free, 0
+            for k in np.argsort(-fan, kind="stable")[: int((fan > 1).sum())].tolist():
+                mine = words[begin[k] : begin[k] + fan[k]]
+                offsets = mine - mine[0]
                 while True:
-                    top = at - mine[0] + mine[-1]
-                    if top + 1 >= len(check):
-                        more = max(len(check), int(top) + 2 - len(check))
-                        check, base = np.r_[check, np.full(more, -1, np.int32)], np.r_[base, np.zeros(more, np.int64)]
-                    if (check[at - mine[0] + mine] == -1).all():
+                    if low + WINDOW + offsets[-1] >= len(check):
+                        check, base = np.r_[check, np.full(len(check), -1, np.int32)], np.r_[base, np.zeros(len(base), np.int64)]
+                    free = low + np.flatnonzero(check[low : low + WINDOW] == -1)
+                    for offset in offsets[1:].tolist():
+                        free = free[check[free + offset] == -1]
+                        if not len(free):
+                            break
+                    if len(free):
                         break
-                    tries += 1
-                    at = at + 1 if tries < 64 else at + max(1, (len(check) - at) // 8)
-                    while at < len(check) and check[at] != -1:
-                        at += 1
+                    low += WINDOW
                 parent = int(parents[begin[k]])
-                base[parent] = at - mine[0]
-                made[begin[k] : end[k]] = at - mine[0] + mine
-                check[made[begin[k] : end[k]]] = parent
+                base[parent] = free[0] - mine[0]
+                made[begin[k] : begin[k] + fan[k]] = free[0] + offsets
+                check[free[0] + offsets] = parent
+            # A lone child fits anywhere.
+            lone = begin[fan == 1]
+            at = np.flatnonzero(check == -1)
+            if len(at) < len(lone):
+                at = np.r_[at, len(check) + np.arange(len(lone))]
+                check, base = np.r_[check, np.full(len(lone), -1, np.int32)], np.r_[base, np.zeros(len(lone), np.int64)]
+            at = at[: len(lone)]
+            made[lone] = at
+            base[parents[lone]] = at - words[lone]
+            check[at] = parents[lone]
             state_of = made[np.cumsum(new) - 1]
         used = int(np.flatnonzero(check != -1)[-1]) + 1
         accept = np.full(used, -1, np.int32)
@@ -130,29 +137,31 @@ def encoded(docs: DataFrame, lang: str, text: str, min_count: int) -> tuple[Data
     words = B.block_words(blocks).where("place > 0")
     counts = materialize(words.groupBy("group", "word").agg(F.sum("n").alias("f")), "word_counts")
     totals = counts.groupBy("group").agg(F.sum("f").alias("n"))
-    frequent = B.numbered(counts.where(F.col("f") >= min_count), "f", ["group", "word"], "number")
-    frequent = materialize(frequent.withColumn("number", F.col("number") + 1), "frequent_words")
-    found = words.select("block", "group", "place", "word").join(frequent, ["group", "word"])
-    rows = B.with_columns_of(blocks, found, ["number"]).select("tokens", "n_words", "places", "number")
+    # Rare words stay in the join, without a number: its rows grow with the texts alone.
+    number = F.when(F.col("f") >= min_count, F.col("number") + 1).alias("number")
+    ids = B.numbered(counts, "f", ["group", "word"], "number", min_count).select("group", "word", "f", number)
+    ids = materialize(ids, "word_numbers")
+    found = words.select("block", "group", "place", "word").join(ids.drop("f"), ["group", "word"])
+    rows = B.with_columns_of(blocks, found, ["number"]).select("tokens", "n_words", "number")
+    frequent = ids.where("number is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tokens, n_words, places, numbers in zip(*batch.columns):
-                if not places.is_valid:
+            for tokens, n_words, numbers in zip(*batch.columns):
+                if not numbers.is_valid:
                     continue
-                number_of = np.zeros(n_words.as_py(), np.int32)
-                number_of[places.values.to_numpy()] = numbers.values.to_numpy()
-                sequence = number_of[B.tokens_of(tokens.as_buffer(), n_words.as_py())]
+                number_of = B.by_place(numbers.values.to_numpy(), n_words.as_py(), 0)
+                sequence = number_of[B.unpacked(tokens.as_py())]
                 # One 0 is enough between words that no phrase joins.
                 keep = np.ones(len(sequence), bool)
                 keep[1:] = (sequence[1:] != 0) | (sequence[:-1] != 0)
-                yield pa.RecordBatch.from_pydict({"sequence": pa.array([sequence[keep].tobytes()], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"sequence": pa.array([B.packed(sequence[keep])], pa.binary())})
 
     sequences = materialize(rows.mapInArrow(run, "sequence binary"), "sequences")
     return sequences, frequent, totals
 
 
-def summed(keys: DataFrame, parts: int, least: int) -> DataFrame:
+def summed(keys: DataFrame, least: int) -> DataFrame:
     """Adds up ``(part, keys, counts)`` blobs by key; ``(key, n)`` of at least ``least``."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -173,7 +182,10 @@ KEYS = "part int, keys binary, counts binary"
 
 def dealt(key: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
     """Distinct keys with their counts, by part."""
-    key, n = np.unique(key, return_counts=True)
+    return shared_out(*np.unique(key, return_counts=True), parts)
+
+
+def shared_out(key: np.ndarray, n: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
     part = (key * np.int64(-7046029254386353131)).view(np.uint64) % np.uint64(parts) if parts > 1 else np.zeros(len(key), np.uint64)
     order = np.argsort(part, kind="stable")
     key, n, part = key[order], n[order].astype(np.int32), part[order]
@@ -197,13 +209,13 @@ def pairs(sequences: DataFrame, parts: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column(0):
-                seq = np.frombuffer(blob.as_buffer(), np.int32).astype(np.int64)
+                seq = B.unpacked(blob.as_py())
                 both = (seq[:-1] > 0) & (seq[1:] > 0)
                 rows = list(dealt(seq[:-1][both] << 32 | seq[1:][both], parts))
                 if rows:
                     yield _key_batch(rows)
 
-    found = summed(sequences.mapInArrow(run, KEYS), parts, least)
+    found = summed(sequences.mapInArrow(run, KEYS), least)
     low = F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     return found.select(F.array(F.shiftright("key", 32).cast("int"), low).alias("words"))
 
@@ -234,8 +246,8 @@ TRIE = ["base", "check", "accept", "phrases", "counts"]
 
 
 def walked(sequences: DataFrame, blobs: dict[str, bytes], size: int, longer: bool, parts: int) -> DataFrame:
-    """``(part, keys, counts)``: accepting states of one trie (part -1: their phrases'
-    numbers) and candidates of one word more, as pairs of the phrases of both ends."""
+    """``(part, keys, counts)``: accepting states of one trie (parts below 0, as their
+    phrases' numbers) and candidates of one word more, as pairs of the phrases of both ends."""
     sent = sequences.sparkSession.sparkContext.broadcast(blobs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +258,7 @@ def walked(sequences: DataFrame, blobs: dict[str, bytes], size: int, longer: boo
         total = np.zeros(len(phrases), np.int64)
         for batch in batches:
             for blob in batch.column(0):
-                at = trie.accepted(np.frombuffer(blob.as_buffer(), np.int32))
+                at = trie.accepted(B.unpacked(blob.as_py()))
                 total += np.bincount(at[at >= 0], minlength=len(phrases))
                 if longer:
                     both = (at[:-1] >= 0) & (at[1:] >= 0)
@@ -255,16 +267,18 @@ def walked(sequences: DataFrame, blobs: dict[str, bytes], size: int, longer: boo
                     if rows:
                         yield _key_batch(rows)
         hit = np.flatnonzero((total > 0) & counts)
-        if len(hit):
-            yield _key_batch([(-1, hit.tobytes(), total[hit].astype(np.int64).tobytes())])
+        rows = [(-1 - part, keys, n) for part, keys, n in shared_out(hit, total[hit], parts)]
+        if rows:
+            yield _key_batch(rows)
 
     return sequences.mapInArrow(run, KEYS)
 
 
 def phrase_counts(sequences: DataFrame, min_count: int, most_words: int, trie_phrases: int) -> DataFrame:
     """``(words, f)`` of every phrase of 2 to ``most_words`` frequent words that is frequent."""
+    # A packed word takes a byte at least.
     size = sequences.agg(F.sum(F.octet_length("sequence"))).first()[0] or 0
-    parts = max(1, -(-size // 4 // SUM_ROWS))
+    parts = max(1, -(-size // SUM_ROWS))
     candidates = materialize(pairs(sequences, parts, min_count), "candidates_2")
     counted = None
     for width in range(2, most_words + 1):
@@ -278,7 +292,7 @@ def phrase_counts(sequences: DataFrame, min_count: int, most_words: int, trie_ph
             blobs = {c: bytes(row[c]) for c in TRIE}
             made = materialize(walked(sequences, blobs, width, longer, parts), f"walk_{width}_{shard}")
             phrases = np.frombuffer(blobs["phrases"], np.int32).reshape(-1, width)
-            found.append(_named(made, phrases, width, parts, min_count, longer))
+            found.append(_named(made, phrases, min_count, longer))
         if not found:
             break
         f = found[0][0]
@@ -295,7 +309,7 @@ def phrase_counts(sequences: DataFrame, min_count: int, most_words: int, trie_ph
     return counted
 
 
-def _named(made: DataFrame, phrases: np.ndarray, width: int, parts: int, min_count: int, longer: bool) -> tuple[DataFrame, DataFrame | None]:
+def _named(made: DataFrame, phrases: np.ndarray, min_count: int, longer: bool) -> tuple[DataFrame, DataFrame | None]:
     """Counts of phrases and longer candidates of one walk, as words' numbers."""
     sent = made.sparkSession.sparkContext.broadcast(phrases)
     kept = pa.schema([("words", pa.list_(pa.int32())), ("f", pa.int64())])
@@ -305,12 +319,9 @@ def _named(made: DataFrame, phrases: np.ndarray, width: int, parts: int, min_cou
         lists = pa.ListArray.from_arrays(edges, pa.array(words.ravel(), pa.int32()))
         return pa.RecordBatch.from_arrays([lists, pa.array(f, pa.int64())], schema=kept)
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(len(sent.value), np.int64)
-        for keys, n in zip(table["keys"].to_pylist(), table["counts"].to_pylist()):
-            total[np.frombuffer(keys, np.int64)] += np.frombuffer(n, np.int64)
-        at = np.flatnonzero(total >= min_count)
-        return pa.Table.from_batches([rows(sent.value[at], total[at])])
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield rows(sent.value[batch.column(0).to_numpy()], batch.column(1).to_numpy())
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,10 +330,10 @@ def _named(made: DataFrame, phrases: np.ndarray, width: int, parts: int, min_cou
             yield rows(np.c_[left, right[:, -1]], batch.column(1).to_numpy())
 
     kinds = "words array<int>, f long"
-    f = made.where("part = -1").groupBy("part").applyInArrow(add, kinds)
+    f = summed(made.where("part < 0"), min_count).mapInArrow(name, kinds)
     if not longer:
         return f, None
-    return f, summed(made.where("part >= 0"), parts, min_count).mapInArrow(extend, kinds).select("words")
+    return f, summed(made.where("part >= 0"), min_count).mapInArrow(extend, kinds).select("words")
 
 
 def collocations(
