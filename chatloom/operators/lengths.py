@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chatloom.fixed_values import SEQUENCE_LIMIT
 from chatloom.functions.keys import hash_bucket, order_key
 from chatloom.functions.text import estimate_length, first_words, word_count
+from chatloom.operators.indexing import refuse_reserved
 
 Estimate = str | Callable[[Column], Column]
 
@@ -40,6 +41,7 @@ def truncate(
     ``words`` cuts after the limit-th word and leaves inner whitespace alone;
     ``chars4`` cuts after ``4 * limit`` characters.
     """
+    refuse_reserved(df, "was_truncated")
     text = F.col(column)
     if est == "words":
         over, cut = word_count(text) > limit, first_words(text, limit)
@@ -69,6 +71,7 @@ def pack(
     its last example. Unless given, the number of buckets follows the total
     length, so a bucket stays the same size whatever the data volume.
     """
+    refuse_reserved(df, "bucket", "pack")
     key = order_key(seed, id)
     if n_buckets is None:
         room = float(budget * packs_per_bucket)

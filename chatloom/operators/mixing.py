@@ -105,6 +105,7 @@ def shuffle(
     Rows are keyed by source and id; position buckets are leading hex digits of
     the key, so they are equal in size whatever the data looks like.
     """
+    refuse_reserved(df, out)
     keyed = _keyed(df, seed, id, source)
     order = ["__cl_key", id]
     if isinstance(source, Column):
@@ -124,6 +125,7 @@ def split_train_eval(
 
     Wide rows are only tagged, never shuffled.
     """
+    refuse_reserved(df, out)
     keyed = _keyed(df, seed, id, "")
     size = df.agg(
         F.ceil(F.count(F.lit(1)).cast("double") * F.lit(float(eval_fraction))).alias("n")
@@ -143,6 +145,7 @@ def split_by_hash(
 ) -> DataFrame:
     """Row-local split for streams and growing tables: sizes are approximate,
     and a row keeps its side for good."""
+    refuse_reserved(df, out)
     held_out = hash_fraction(order_key(seed, id)) < F.lit(float(eval_fraction))
     return df.withColumn(out, F.when(held_out, "eval").otherwise("train"))
 

@@ -41,16 +41,16 @@ def parse_annotation_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     and other scalars their JSON text (so ``true`` stays ``true``).
     """
     value = F.col(line)
-    row = lines.withColumn("_parsed", parse_json_object(value, "text: STRING, entities: STRING"))
-    row = row.withColumn("_entities", entity_list(F.col("_parsed.entities")))
+    row = lines.withColumn("__cl_parsed", parse_json_object(value, "text: STRING, entities: STRING"))
+    row = row.withColumn("__cl_entities", entity_list(F.col("__cl_parsed.entities")))
     other = F.when(parse_json_text(value).isNull(), "not_json").otherwise("not_object")
-    defect = F.when(F.col("_parsed").isNull(), other).when(
-        F.col("_entities").isNull(), "bad_entities"
+    defect = F.when(F.col("__cl_parsed").isNull(), other).when(
+        F.col("__cl_entities").isNull(), "bad_entities"
     )
     parsed = evaluate_once(
-        row, text=text_or_empty("_parsed.text"), entities=F.col("_entities"), defect=defect
+        row, text=text_or_empty("__cl_parsed.text"), entities=F.col("__cl_entities"), defect=defect
     )
-    return parsed.drop("_parsed", "_entities")
+    return parsed.drop("__cl_parsed", "__cl_entities")
 
 
 def normalize_annotations(

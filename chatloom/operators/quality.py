@@ -19,6 +19,7 @@ from chatloom.fixed_values import (
 )
 from chatloom.functions.jsonfmt import variant_list
 from chatloom.functions.text import estimate_length, let, word_count
+from chatloom.operators.indexing import refuse_reserved
 from chatloom.operators.shaping import explode_rows
 from chatloom.schemas import ENTITY_FIELDS
 
@@ -62,6 +63,7 @@ def _absent(field: str, text: str) -> tuple[Column, Column]:
 
 def check_enums(df: DataFrame) -> DataFrame:
     """Entities with a type or assertion outside the label sets, missing ones included."""
+    refuse_reserved(df, "n_entities", "n_bad_type", "n_bad_assertion", "n_missing")
     return (
         df.withColumn("n_entities", _n_entities())
         .withColumn("n_bad_type", count_entities(lambda e: _fails(~e["type"].isin(*ENTITY_TYPES))))
@@ -79,6 +81,7 @@ def check_extra_keys(parsed: DataFrame) -> DataFrame:
 
     Adds ``n_items_extra``, ``n_entities_extra`` and the names in ``extra_keys``.
     """
+    refuse_reserved(parsed, "n_items_extra", "n_entities_extra", "extra_keys")
 
     def surplus(v: Column, allowed: tuple[str, ...]) -> Column:
         keys = F.map_keys(F.try_variant_get(v, "$", "map<string, variant>"))
@@ -95,20 +98,21 @@ def check_extra_keys(parsed: DataFrame) -> DataFrame:
     def some(lists: str) -> Column:
         return F.size(F.filter(lists, lambda k: F.size(k) > 0)).cast("bigint")
 
-    names = F.array_distinct(F.flatten(F.concat("_items", "_entities")))
+    names = F.array_distinct(F.flatten(F.concat("__cl_items", "__cl_entities")))
     return (
         parsed.where(F.col("status") == "ok")
-        .withColumn("_items", per_item)
-        .withColumn("_entities", per_entity)
-        .withColumn("n_items_extra", some("_items"))
-        .withColumn("n_entities_extra", some("_entities"))
+        .withColumn("__cl_items", per_item)
+        .withColumn("__cl_entities", per_entity)
+        .withColumn("n_items_extra", some("__cl_items"))
+        .withColumn("n_entities_extra", some("__cl_entities"))
         .withColumn("extra_keys", F.array_sort(names))
-        .drop("_items", "_entities")
+        .drop("__cl_items", "__cl_entities")
     )
 
 
 def check_grounding(df: DataFrame, text: str = "text") -> DataFrame:
     """Mentions that do not occur in their note; ``n_missing`` of them are empty."""
+    refuse_reserved(df, "n_entities", "n_ungrounded", "n_ungrounded_nocase", "n_missing")
     exact, nocase = _absent("mention", text)
     return (
         df.withColumn("n_entities", _n_entities())
@@ -120,6 +124,7 @@ def check_grounding(df: DataFrame, text: str = "text") -> DataFrame:
 
 def check_context_copied(df: DataFrame, text: str = "text") -> DataFrame:
     """Context windows that are not copied from their note; ``n_missing`` are empty."""
+    refuse_reserved(df, "n_entities", "n_not_copied", "n_not_copied_nocase", "n_missing")
     exact, nocase = _absent("context_window", text)
     return (
         df.withColumn("n_entities", _n_entities())
@@ -134,6 +139,7 @@ def check_context_shape(df: DataFrame) -> DataFrame:
 
     A missing window fails both tests, an empty or missing mention the second.
     """
+    refuse_reserved(df, "n_entities", "n_bad_size", "n_without_mention")
     low, high = CONTEXT_WORDS
     return (
         df.withColumn("n_entities", _n_entities())
@@ -159,6 +165,7 @@ def check_note_length(
     tolerance: int = NOTE_LENGTH_TOLERANCE_PERCENT,
 ) -> DataFrame:
     """Estimated length and whether it is within the tolerance of the target."""
+    refuse_reserved(df, "n_words", "in_range")
     low, high = (100 - tolerance) * target, (100 + tolerance) * target
     return df.withColumn("n_words", estimate_length(text, est)).withColumn(
         "in_range", (F.col("n_words") * 100).between(low, high)
@@ -171,7 +178,7 @@ def label_balance(df: DataFrame, entities: str = "entities") -> DataFrame:
     Pairs are counted first, so the rollup runs over the few distinct pairs. A
     null label with ``level`` above 0 is a subtotal.
     """
-    pairs = explode_rows(df, array=entities, pos="_pos", item="e").select("e.type", "e.assertion")
+    pairs = explode_rows(df, array=entities, pos="__cl_pos", item="__cl_e").select("__cl_e.type", "__cl_e.assertion")
     counts = pairs.groupBy("type", "assertion").agg(F.count(F.lit(1)).alias("c"))
     total = counts.agg(F.sum("c").alias("n")).scalar()
     return (

@@ -18,6 +18,7 @@ from chatloom.fixed_values import (
 )
 from chatloom.functions.batching import max_output_tokens, safe_batch
 from chatloom.functions.templates import fill_template, message
+from chatloom.operators.indexing import refuse_reserved
 
 REQUESTS_PER_CHUNK = 65536
 
@@ -99,22 +100,22 @@ def followup_requests(
     is then missing to a job's ``total`` is planned anew, with ids after the last.
     """
     name = plan.get("total", "total")
-    done = accepted.select(job, batch, F.col("accepted").alias("_accepted"))
+    done = accepted.select(job, batch, F.col("accepted").alias("__cl_accepted"))
     state = (
         requests.select(job, batch, "count")
         .join(done, [job, batch], "left")
         .groupBy(job)
         .agg(
-            F.sum(F.coalesce("_accepted", "count")).alias("_covered"),
-            (F.max(batch) + 1).alias("_next"),
+            F.sum(F.coalesce("__cl_accepted", "count")).alias("__cl_covered"),
+            (F.max(batch) + 1).alias("__cl_next"),
         )
     )
     short = (
         jobs.join(state, job, "left")
-        .withColumn(name, F.col(name) - F.coalesce("_covered", F.lit(0)))
-        .withColumn("_next", F.coalesce("_next", F.lit(0)))
+        .withColumn(name, F.col(name) - F.coalesce("__cl_covered", F.lit(0)))
+        .withColumn("__cl_next", F.coalesce("__cl_next", F.lit(0)))
     )
-    return plan_requests(short, job, first_batch="_next", **plan)
+    return plan_requests(short, job, first_batch="__cl_next", **plan)
 
 
 def render_requests(plan: DataFrame, seed: int | None = None) -> DataFrame:
@@ -123,6 +124,7 @@ def render_requests(plan: DataFrame, seed: int | None = None) -> DataFrame:
     With a seed the user prompt ends in ``SEED: seed + batch_id``, so a request
     sent again carries the same seed.
     """
+    refuse_reserved(plan, "system", "user")
     user = fill_template(
         GENERATION_USER_PROMPT, count="count", unit_schema=F.lit(GENERATION_UNIT_SCHEMA)
     )
@@ -141,6 +143,7 @@ def request_payload(
     The system prompt goes out under ``system_role``; existing runs send it as
     ``assistant``.
     """
+    refuse_reserved(df, "payload")
     body = F.struct(
         F.lit(model).alias("model"),
         F.array(message(system_role, F.col("system")), message("user", F.col("user"))).alias(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.jsonfmt import parse_json_text, repeated_keys, variant_at, variant_list
 from chatloom.functions.text import let, preview
+from chatloom.operators.indexing import refuse_reserved
 from chatloom.operators.shaping import evaluate_once, explode_rows
 from chatloom.schemas import ENTITIES_DDL, ENTITY_FIELDS
 
@@ -36,17 +37,18 @@ def parse_responses(df: DataFrame, raw: str = "raw", expected: str = "expected")
     ``items_not_list``, ``ok``. A wrong number of items is only flagged. Of repeated
     keys the last counts.
     """
+    refuse_reserved(df, "status", "n_items", "count_mismatch", "items")
     with repeated_keys(df.sparkSession):
-        document = df.withColumn("_doc", parse_json_text(F.col(raw)))
-    document = document.withColumn("_items", variant_list(F.col("_doc"), "$.items"))
+        document = df.withColumn("__cl_doc", parse_json_text(F.col(raw)))
+    document = document.withColumn("__cl_items", variant_list(F.col("__cl_doc"), "$.items"))
     object_like = F.col(raw).rlike("^\\s*\\{")
     status = (
-        F.when(F.col("_doc").isNull(), "not_json")
-        .when(~object_like | variant_at(F.col("_doc"), "$.items").isNull(), "no_items")
-        .when(F.col("_items").isNull(), "items_not_list")
+        F.when(F.col("__cl_doc").isNull(), "not_json")
+        .when(~object_like | variant_at(F.col("__cl_doc"), "$.items").isNull(), "no_items")
+        .when(F.col("__cl_items").isNull(), "items_not_list")
         .otherwise("ok")
     )
-    parsed = evaluate_once(document, status=status, items=F.col("_items")).drop("_doc", "_items")
+    parsed = evaluate_once(document, status=status, items=F.col("__cl_items")).drop("__cl_doc", "__cl_items")
     n_items = F.when(F.col("status") == "ok", F.size("items").cast("bigint"))
     mismatch = F.coalesce(F.col("n_items") != F.col(expected), F.lit(False))
     return parsed.withColumn("n_items", n_items).withColumn("count_mismatch", mismatch)
@@ -106,6 +108,7 @@ def validate_annotations(items: DataFrame, item: str = "item") -> DataFrame:
     ``context_window`` may be missing, ``entities`` may be missing, unknown keys
     are dropped. One bad item does not stop the others.
     """
+    refuse_reserved(items, "errors", "valid", "text", "entities")
     v = F.col(item)
 
     def clean(e: Column) -> Column:
@@ -116,15 +119,15 @@ def validate_annotations(items: DataFrame, item: str = "item") -> DataFrame:
             ]
         )
 
-    checked = items.withColumn("_entities", variant_list(v, "$.entities"))
-    checked = evaluate_once(checked, errors=item_errors(v, F.col("_entities")))
+    checked = items.withColumn("__cl_entities", variant_list(v, "$.entities"))
+    checked = evaluate_once(checked, errors=item_errors(v, F.col("__cl_entities")))
     valid = F.size("errors") == 0
-    entities = F.coalesce(F.transform("_entities", clean), F.array().cast(ENTITIES_DDL))
+    entities = F.coalesce(F.transform("__cl_entities", clean), F.array().cast(ENTITIES_DDL))
     return (
         checked.withColumn("valid", valid)
         .withColumn("text", F.when(valid, F.try_variant_get(v, "$.text", "string")))
         .withColumn("entities", F.when(valid, entities))
-        .drop("_entities")
+        .drop("__cl_entities")
     )
 
 
@@ -134,6 +137,8 @@ def count_accepted(parsed: DataFrame, out: str = "accepted") -> DataFrame:
     Counted inside the row: no explode, no grouping, no join back.
     """
 
+    refuse_reserved(parsed, out)
+
     def valid(item: Column) -> Column:
         return let(variant_list(item, "$.entities"), lambda es: F.size(item_errors(item, es)) == 0)
 

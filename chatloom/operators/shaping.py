@@ -16,8 +16,8 @@ def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns whose expressions later filters will not repeat."""
     values = F.struct(*[c.alias(name) for name, c in columns.items()])
     kept = [c for c in df.columns if c not in columns]
-    once = df.select(*kept, F.explode_outer(F.array(values)).alias("_once"))
-    return once.select(*kept, *[F.col(f"_once.{name}").alias(name) for name in columns])
+    once = df.select(*kept, F.explode_outer(F.array(values)).alias("__cl_once"))
+    return once.select(*kept, *[F.col(f"__cl_once.{name}").alias(name) for name in columns])
 
 
 def explode_rows(df: DataFrame, *keep: str, array: Column | str, pos: str, item: str) -> DataFrame:

@@ -28,6 +28,11 @@ def annotation_line(text: str = "text", entities: str = "entities") -> Column:
     )
 
 
+def json_line(df: DataFrame) -> Column:
+    """A row as JSON text: all columns, nulls included."""
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+
+
 def assign_shards(
     df: DataFrame, shard_size: int = SHARD_ROWS, order_by: str | Sequence[str] = "id"
 ) -> DataFrame:
@@ -88,9 +93,12 @@ def write_jsonl_sharded(
     One file per shard, rows in order, non-ASCII as is, no file for empty input.
     ``line`` is the JSON text of a row (see :func:`annotation_line`); by default
     all columns, nulls included. At large volumes choose a ``shard_size`` that
-    keeps the number of folders in the tens of thousands.
+    keeps the number of folders in the tens of thousands. ``mode="append"`` is refused,
+    since numbers would begin at 0 again; ``shard_sets.append_shards`` continues them.
     """
-    body = line if line is not None else F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    if mode == "append":
+        raise ValueError("shards cannot be appended to; use shard_sets.append_shards")
+    body = line if line is not None else json_line(df)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     keys = [f"key_{i}" for i in range(len(order))]
     # The line is made before positions are added, so it has the table's own columns.

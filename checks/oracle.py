@@ -442,6 +442,18 @@ SELECT shard, count(*) AS n, min(doc_id) AS "first", max(doc_id) AS "last",
 FROM numbered GROUP BY shard
 """
 
+ORACLES["shard_append"] = """
+WITH written AS (
+  SELECT doc_id, text, CASE WHEN lang = 'en' THEN 1 WHEN lang IN ('de', 'fr') THEN 2 ELSE 3 END AS round
+  FROM documents
+),
+placed AS (SELECT *, (row_number() OVER (ORDER BY round, doc_id) - 1) // 64 AS shard FROM written)
+SELECT version, shard, count(*) AS n, min(doc_id) AS min_id, max(doc_id) AS max_id,
+  sum(length(text))::BIGINT AS n_chars
+FROM placed JOIN range(1, 4) v(version) ON round <= version
+GROUP BY version, shard
+"""
+
 ORACLES["shard_rows"] = """
 SELECT (row_number() OVER (ORDER BY source, doc_id) - 1) // 64 AS shard, doc_id, text FROM documents
 """

@@ -36,6 +36,7 @@ from chatloom.sources.readers import (
     read_splits,
     read_table,
 )
+from chatloom.sources.shard_sets import append_shards, read_shard_set, versions
 from chatloom.sources.writers import (
     annotation_line,
     assign_shards,
@@ -138,6 +139,28 @@ def shard_roundtrip(spark, sf):
     )
 
 
+@query
+def shard_append(spark, sf):
+    path = scratch_path(spark, "shard_set")
+    d = documents(spark, sf).select("doc_id", "lang", "source", "text")
+    # Three writes of all documents; each fills the last shard of the one before.
+    parts = [F.col("lang") == "en", F.col("lang").isin("de", "fr"), ~F.col("lang").isin("en", "de", "fr")]
+    for part in parts:
+        append_shards(d.where(part), path, 64, "doc_id")
+    found = [read_shard_set(spark, path, v).withColumn("version", F.lit(v)) for v in versions(spark, path)]
+    lines = found[0]
+    for more in found[1:]:
+        lines = lines.unionByName(more)
+    row = F.from_json("value", "doc_id BIGINT, lang STRING, source STRING, text STRING")
+    lines = lines.select("version", "shard", row.alias("r"))
+    return lines.groupBy(big("version").alias("version"), "shard").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("r.doc_id").alias("min_id"),
+        F.max("r.doc_id").alias("max_id"),
+        F.sum(big(F.length("r.text"))).alias("n_chars"),
+    )
+
+
 @named("shard_manifest")
 def shard_manifest_rows(spark, sf):
     return shard_manifest(documents(spark, sf), 100, "doc_id")
