@@ -145,11 +145,12 @@ def numbered(words: DataFrame, n: str, by: list[str], name: str, least: int = 1)
     return placed.withColumn(name, F.col("start") + F.col("inside")).drop("part", "start", "inside")
 
 
-def with_columns_of(blocks: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
+def with_columns_of(blocks: DataFrame, found: DataFrame, columns: list[str], *totals: Column) -> DataFrame:
     """The blocks with the values that ``found``, ``(block, place, *columns)``, has for their
-    words, each column a list of longs for ``by_place``; null values are left out."""
+    words, each column a list of longs for ``by_place``; null values are left out.
+    ``totals`` are further aggregates of a block's rows."""
     value = lambda c: F.shiftleft(F.col("place").cast("long"), 63 - PLACE_BITS).bitwiseOR(F.col(c).cast("long"))
-    per_block = found.groupBy("block").agg(*(F.collect_list(value(c)).alias(c) for c in columns))
+    per_block = found.groupBy("block").agg(*(F.collect_list(value(c)).alias(c) for c in columns), *totals)
     return blocks.withColumn("n_words", F.size("words")).drop("words", "counts").join(per_block, "block", "left")
 
 

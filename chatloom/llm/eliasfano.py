@@ -11,17 +11,20 @@ _POP = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 _SELECT = np.zeros((256, 8), np.uint8)
 for _b in range(256):
     _SELECT[_b, : _POP[_b]] = [i for i in range(8) if _b >> i & 1]
-SAMPLE = 64
+_ADD = np.uint64(0x0101010101010101)
+SAMPLE = 32
 
 
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Place of the k-th (from 0) set bit of every 64-bit word."""
     parts = np.ascontiguousarray(word).view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_POP[parts], axis=1, dtype=np.int64)
-    byte = (upto <= k[:, None]).sum(axis=1)
-    rows = np.arange(len(word))
-    left = k - np.where(byte > 0, upto[rows, byte - 1], 0)
-    return 8 * byte + _SELECT[parts[rows, byte], left]
+    # Bits up to and with each byte, all eight sums in one product.
+    each = np.bitwise_count(parts).view(np.uint64).ravel()
+    upto = (each * _ADD).view(np.uint8).reshape(-1, 8)
+    byte = (upto <= k.astype(np.uint8)[:, None]).view(np.int8).sum(axis=1, dtype=np.int64)
+    row = 8 * np.arange(len(word))
+    left = k - np.where(byte > 0, upto.ravel()[row + byte - 1], 0)
+    return 8 * byte + _SELECT[parts.ravel()[row + byte], left]
 
 
 class Sequence:
@@ -76,11 +79,18 @@ class Sequence:
         """Place of the k-th one, or zero, in the upper bits."""
         ones = self.ones
         before = (lambda w: ones[w].astype(np.int64)) if one else (lambda w: 64 * w - ones[w].astype(np.int64))
-        word = (self.sample1 if one else self.sample0)[k // SAMPLE].astype(np.int64)
-        todo = np.flatnonzero(before(word + 1) <= k)
+        sample = self.sample1 if one else self.sample0
+        # The word lies between those of the sampled bits before and after; runs can be long.
+        word = sample[k // SAMPLE].astype(np.int64)
+        last = sample[np.minimum(k // SAMPLE + 1, len(sample) - 1)].astype(np.int64)
+        last[k // SAMPLE + 1 >= len(sample)] = len(self.high) - 1
+        todo = np.flatnonzero(word < last)
         while len(todo):
-            word[todo] += 1
-            todo = todo[before(word[todo] + 1) <= k[todo]]
+            mid = (word[todo] + last[todo] + 1) >> 1
+            here = before(mid) <= k[todo]
+            word[todo[here]] = mid[here]
+            last[todo[~here]] = mid[~here] - 1
+            todo = todo[word[todo] < last[todo]]
         bits = self.high[word] if one else ~self.high[word]
         return 64 * word + _select_in_word(bits, k - before(word))
 

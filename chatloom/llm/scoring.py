@@ -14,8 +14,8 @@ fractions and ``g`` are stored in 16 bits, in steps of 2 ** (1/1024): a score is
 than 0.0002 decades a token.
 
 The model is cut by the middle word into shards of about ``SHARD_TOKENS`` tokens, a very
-frequent middle word further by the word before it; each shard is built by one task and is
-one file. Its levels are monotone sequences in Elias-Fano form: the successors c of each b;
+frequent middle word further by the word before it (the pairs behind it go to all of its
+shards); each shard is built by one task and is one file. Its levels are monotone sequences in Elias-Fano form: the successors c of each b;
 the contexts a before each b; for each context a monotone pointer to as many slots as b has
 successors; and the triples as slots, a slot being the pointer plus the place of c among the
 successors of b. So a lookup finds c among the successors of b, takes the place relative to
@@ -41,7 +41,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm import blocks as B
@@ -52,16 +52,14 @@ from chatloom.session import scratch_path
 
 DISCOUNT = 0.8
 LEAST_TRIPLE = 2
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 OPEN_SHARDS = 64
-QUERY = 1 << 18
+QUERY = 1 << 15
 STEPS = 1024  # codes per halving of a probability
 END = b""
-GRAMS = "shard long, kind int, size long, a binary, b binary, c binary, n binary"
-_GRAMS = pa.schema(
-    [("shard", pa.int64()), ("kind", pa.int32()), ("size", pa.int64())] + [(x, pa.binary()) for x in "abcn"]
-)
-ENCODED = ["docs", "counted", "lengths", "tokens", "n_words", "places", "number", "f", "shard", "spread"]
+GRAMS = "shard long, kind int, a binary, b binary, c binary, n binary"
+_GRAMS = pa.schema([("shard", pa.int64()), ("kind", pa.int32())] + [(x, pa.binary()) for x in "abcn"])
+ENCODED = ["docs", "counted", "lengths", "tokens", "n_words", "number", "f"]
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -76,34 +74,20 @@ def decoded(codes: np.ndarray) -> np.ndarray:
     return np.exp2(codes.astype(np.float64) / -STEPS)
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Whole numbers below 2**40 by byte: all lowest bytes first, so that equal ones compress."""
-    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes()
-
-
-def unplanes(blob: bytes, size: int) -> np.ndarray:
-    out = np.zeros((size, 8), np.uint8)
-    out[:, :5] = np.frombuffer(blob, np.uint8).reshape(5, size).T
-    return out.view("<i8").ravel()
-
-
 class Words:
-    """Per place of a block: the word's number (-1: unknown), count, and its shards.
-
-    One more place, the last, stands for the begin of a text.
-    """
-
-    def __init__(self, row: dict, vocabulary: int, shards: int):
-        n = row["n_words"]
-        self.begin = n
-        self.number, self.count = np.full(n + 1, -1, np.int64), np.zeros(n + 1, np.int64)
-        self.shard, self.spread = np.full(n + 1, -1, np.int64), np.ones(n + 1, np.int64)
-        if row["places"] is not None:
-            at = row["places"]
-            self.number[at], self.count[at] = row["number"], row["f"]
-            self.shard[at], self.spread[at] = row["shard"], row["spread"]
-        self.number[n], self.shard[n] = vocabulary, vocabulary % shards
-        self.tokens = B.tokens_of(row["tokens"], n).astype(np.int64)
+    """Per place of a block: the word's number (-1: unknown), count, and how many shards
+    share its triples. One more place, the last, stands for the begin of a text."""
+
+    def __init__(self, row: dict, model: dict):
+        n = self.begin = row["n_words"]
+        self.shards = model["shards"]
+        empty = np.zeros(0, np.int64)
+        self.number, self.count = (
+            np.r_[B.by_place(empty if row[c] is None else row[c], n, missing), end]
+            for c, missing, end in (("number", -1, model["numbers"]), ("f", 0, 0))
+        )
+        self.spread = np.maximum(-(-self.count // model["shard_tokens"]), 1)
+        self.tokens = B.unpacked(row["tokens"])
         self.starts = np.cumsum(row["lengths"]) - row["lengths"]
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
@@ -115,9 +99,14 @@ class Words:
         return second, last
 
     def shards_of(self, second: np.ndarray, last: np.ndarray) -> np.ndarray:
-        spread = self.spread[last]
-        which = (mix64(self.number[second].view(np.uint64), 5) % spread.view(np.uint64)).view(np.int64)
-        return self.shard[last] + np.where(spread > 1, which, 0)
+        """The shard of each context; that of a very frequent last word depends on both words."""
+        spread = self.spread[last].view(np.uint64)
+        share = mix64(self.number[second].view(np.uint64), 5) % spread
+        return self.shard(self.number[last], share.view(np.int64))
+
+    def shard(self, number: np.ndarray, share: np.ndarray) -> np.ndarray:
+        key = mix64(mix64(number.view(np.uint64), 6) + share.view(np.uint64), 7)
+        return (key % np.uint64(self.shards)).view(np.int64)
 
 
 def encoded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -128,51 +117,69 @@ def encoded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
                 value = column[i]
                 if not value.is_valid:
                     row[name] = None
-                elif name == "tokens":
-                    row[name] = value.as_buffer()
+                elif name in ("tokens", "n_words"):
+                    row[name] = value.as_py()
                 elif name == "docs":
                     row[name] = value.values
-                elif name == "n_words":
-                    row[name] = value.as_py()
                 else:
                     row[name] = value.values.to_numpy(zero_copy_only=False)
             yield row
 
 
-def vocabulary_of(blocks: DataFrame, shard_tokens: int) -> tuple[DataFrame, dict]:
-    """``(word, f, number, shard, spread)`` of all training words, and totals."""
-    counts = B.block_words(blocks).groupBy("word").agg(F.sum("n").alias("f")).where("f > 0")
-    words = materialize(B.numbered(counts, "f", ["word"], "number"), "vocabulary")
-    total = words.agg(
-        F.coalesce(F.sum("f"), F.lit(0)).alias("tokens"),
-        F.count(F.lit(1)).alias("words"),
-        F.count_if(F.col("f") == 1).alias("once"),
-        F.count_if(F.col("f") == 2).alias("twice"),
+def numbered_words(blocks: DataFrame, parts: int) -> DataFrame:
+    """``(block, place, number, f, is_first)``: every block's words with their number and
+    count in training documents; words that these do not hold have neither.
+
+    One shuffle by hash part: a word's number is its rank in the part's order, times the
+    number of parts, plus the part. ``is_first`` marks one row of every word.
+    """
+    rows = B.block_words(blocks).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
+    same = Window.partitionBy("part", "word")
+    rank = F.dense_rank().over(Window.partitionBy("part").orderBy("word")) - 1
+    rows = rows.withColumn("number", rank * F.lit(parts) + F.col("part"))
+    rows = rows.withColumn("f", F.sum("n").over(same)).withColumn("is_first", F.min("block").over(same) == F.col("block"))
+    known = lambda c: F.when(F.col("f") > 0, F.col(c)).alias(c)
+    return rows.select("block", "place", known("number"), known("f"), "is_first")
+
+
+TOTALS = ["tokens", "words", "once", "twice", "top"]
+
+
+def encoded_blocks(blocks: DataFrame, shard_tokens: int) -> tuple[DataFrame, dict]:
+    """Blocks with their words' numbers and counts, and the model's totals."""
+    size = blocks.agg(F.count(F.lit(1))).first()[0]
+    found = numbered_words(blocks, max(64, size))
+    first = F.col("is_first") & F.col("f").isNotNull()
+    sums = [
+        F.sum(F.when(first, F.col("f"))).alias("sum_tokens"),
+        F.count_if(first).alias("sum_words"),
+        F.count_if(first & (F.col("f") == 1)).alias("sum_once"),
+        F.count_if(first & (F.col("f") == 2)).alias("sum_twice"),
+        F.max("number").alias("sum_top"),
+    ]
+    rows = B.with_columns_of(blocks, found, ["number", "f"], *sums)
+    encoded = materialize(rows.select(*ENCODED, *(f"sum_{t}" for t in TOTALS)), "encoded")
+    total = encoded.agg(
+        *(F.coalesce(F.sum(f"sum_{t}"), F.lit(0)).alias(t) for t in TOTALS[:-1]), F.coalesce(F.max("sum_top"), F.lit(-1)).alias("top")
     ).first()
-    tokens, once, twice = total.tokens, total.once, total.twice
-    shards = max(1, -(-tokens // shard_tokens))
-    # Words of more than a shard have shards of their own; there is one such word a shard at most.
-    often = words.where(F.col("f") > shard_tokens).withColumn("spread", F.ceil(F.col("f") / shard_tokens))
-    before = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    often = often.withColumn("shard", F.coalesce(F.sum("spread").over(before), F.lit(0)) + shards)
-    rest = words.where(F.col("f") <= shard_tokens)
-    rest = rest.withColumn("spread", F.lit(1).cast("long")).withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)))
-    columns = ["word", "f", F.col("number").cast("long"), F.col("shard").cast("long"), F.col("spread").cast("long")]
     model = {
-        "tokens": tokens, "words": total.words, "shards": shards,
-        "discount": (once + 0.5) / (once + 2 * twice + 1),
-    }
-    return often.select(columns).unionByName(rest.select(columns)), model
+        "tokens": total.tokens,
+        "words": total.words,
+        "numbers": total.top + 1,
+        "shards": max(1, -(-total.tokens // shard_tokens)),
+        "shard_tokens": shard_tokens,
+        "discount": (total.once + 0.5) / (total.once + 2 * total.twice + 1),
+    }
+    return encoded.select(*ENCODED), model
 
 
 def grams(encoded: DataFrame, model: dict) -> DataFrame:
     """``GRAMS``: distinct triples (kind 0) of every block's training documents by shard, and
     pairs (kind 1) behind words that have several shards, for all of those."""
-    vocabulary, shards = model["words"], model["shards"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in encoded_rows(batches):
-            w = Words(row, vocabulary, shards)
+            w = Words(row, model)
             second, last = w.contexts()
             train = np.repeat(row["counted"], row["lengths"])
             # Places in the order of the words' numbers, so that packed keys sort by number.
@@ -196,18 +203,28 @@ def grams(encoded: DataFrame, model: dict) -> DataFrame:
                 n = np.bincount(at, weights=n[wide]).astype(np.int64)
                 b, c = pair // size, pair % size
                 copies = w.spread[b]
-                shard = np.repeat(w.shard[b] - np.cumsum(copies) + copies, copies) + np.arange(copies.sum())
+                share = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
                 b, c, n = (np.repeat(x, copies) for x in (w.number[b], w.number[c], n))
+                shard = w.shard(b, share)
+                # Two shares of a word may fall into one shard.
+                b, c, n, shard = _once(b, c, n, shard)
                 yield from _sharded(shard, 1, np.zeros_like(b), b, c, n)
 
     return encoded.mapInArrow(run, GRAMS)
 
 
+def _once(b: np.ndarray, c: np.ndarray, n: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.lexsort((c, b, shard))
+    b, c, n, shard = b[order], c[order], n[order], shard[order]
+    new = np.r_[True, (b[1:] != b[:-1]) | (c[1:] != c[:-1]) | (shard[1:] != shard[:-1])]
+    return b[new], c[new], n[new], shard[new]
+
+
 def _sharded(shard: np.ndarray, kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
     for part, of in zip(np.split(order, np.flatnonzero(np.diff(shard)) + 1), np.unique(shard).tolist()):
-        values = (of, kind, len(part), *(planes(x[part]) for x in columns))
+        values = (of, kind, *(B.packed(x[part]) for x in columns))
         yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _GRAMS.types)], schema=_GRAMS)
 
 
@@ -265,13 +282,13 @@ def shard_arrays(triples: tuple[np.ndarray, ...], wide: tuple[np.ndarray, ...],
 
 def build(packed: DataFrame, folder: str, model: dict) -> list[int]:
     """Writes one file per shard; returns the shards there are: a number per shard."""
-    universe = model["words"] + 1
+    universe = model["numbers"] + 1
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         grams = {0: [[], [], [], []], 1: [[], [], [], []]}
         for row in rows.to_pylist():
             for part, name in zip(grams[row["kind"]], "abcn"):
-                part.append(unplanes(row[name], row["size"]))
+                part.append(B.unpacked(row[name]))
         arrays = [tuple(np.concatenate(p) if p else np.zeros(0, np.int64) for p in grams[k]) for k in (0, 1)]
         shard = key[0].as_py()
         data = to_bytes(shard_arrays(*arrays, universe))
@@ -349,18 +366,18 @@ def scores(encoded: DataFrame, folder: str, shards: list[int], model: dict, id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in encoded_rows(batches):
-            w = Words(row, vocabulary, model["shards"])
+            w = Words(row, model)
             second, last = w.contexts()
             count = w.count[w.tokens]
             single = np.where(count > 0, (count - discount) / max(n, 1), unknown)
             p = single.copy()
-            shard = np.where(w.shard[last] >= 0, w.shards_of(second, last), -1)
+            shard = np.where(w.number[last] >= 0, w.shards_of(second, last), -1)
             order = np.argsort(shard, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                 of = int(shard[part[0]])
                 if of not in present.value:
                     continue
-                held = open_shard(folder, of, vocabulary + 1)
+                held = open_shard(folder, of, model["numbers"] + 1)
                 for at in np.split(part, range(QUERY, len(part), QUERY)):
                     numbers = (w.number[x[at]] for x in (second, last, w.tokens))
                     triple, context_left, pair, middle_left = held.shares(*numbers)
@@ -382,6 +399,15 @@ def scores(encoded: DataFrame, folder: str, shards: list[int], model: dict, id:
     return encoded.select(*ENCODED).mapInArrow(run, columns)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of jobs that have ended and been written.
+
+    It does so when the driver's garbage is collected, which a driver that does little
+    work may put off until the disks are full.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def score_documents(
     docs: DataFrame, id: str = "doc_id", text: str = "text", folds: int = 7, held_out: int = 2, shard_tokens: int = SHARD_TOKENS
 ) -> DataFrame:
@@ -390,10 +416,9 @@ def score_documents(
     train = F.crc32(name.cast("binary")) % folds != held_out
     made = B.tokenized(docs.select(id, text), F.lit(""), F.col(id), train, F.col(text), words_of, END)
     blocks = materialize(made, "blocks")
-    words, model = vocabulary_of(blocks, shard_tokens)
-    found = B.block_words(blocks).select("block", "place", "word").join(words, "word")
-    encoded = B.with_columns_of(blocks, found, ["number", "f", "shard", "spread"]).select(*ENCODED)
-    encoded = materialize(encoded, "encoded")
+    encoded, model = encoded_blocks(blocks, shard_tokens)
+    release(docs.sparkSession)
     folder = scratch_path(docs.sparkSession, "model")
     shards = build(grams(encoded, model), folder, model) if model["tokens"] else []
+    release(docs.sparkSession)
     return scores(encoded, folder, shards, model, id, "long")
