@@ -14,14 +14,14 @@ from chatloom.session import scratch_path
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write to a new table below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage: what follows neither repeats the work before it nor loses
     it with an executor.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -13,6 +13,7 @@ for _b in range(256):
     _SELECT[_b, : _POP[_b]] = [i for i in range(8) if _b >> i & 1]
 _ADD = np.uint64(0x0101010101010101)
 SAMPLE = 32
+NEAR = 4
 
 
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -33,7 +34,7 @@ class Sequence:
     def __init__(self, arrays: dict[str, np.ndarray], name: str):
         pick = lambda part: arrays[f"{name}.{part}"]
         self.n, self.low_bits, self.top = (int(v) for v in pick("sizes"))
-        self.low, self.high, self.ones = pick("low"), pick("high"), pick("ones")
+        self.low, self.high, self.ones = pick("low"), pick("high"), pick("ones").astype(np.int64)
         self.sample1, self.sample0 = pick("sample1"), pick("sample0")
 
     @staticmethod
@@ -78,7 +79,7 @@ class Sequence:
     def _select(self, k: np.ndarray, one: bool) -> np.ndarray:
         """Place of the k-th one, or zero, in the upper bits."""
         ones = self.ones
-        before = (lambda w: ones[w].astype(np.int64)) if one else (lambda w: 64 * w - ones[w].astype(np.int64))
+        before = (lambda w: ones[w]) if one else (lambda w: 64 * w - ones[w])
         sample = self.sample1 if one else self.sample0
         # The word lies between those of the sampled bits before and after; runs can be long.
         word = sample[k // SAMPLE].astype(np.int64)
@@ -108,16 +109,31 @@ class Sequence:
         lo = np.zeros(len(ask), np.int64)
         past = upper > 0
         lo[past] = self._select(upper[past] - 1, False) - (upper[past] - 1)
-        hi = end = self._select(upper, False) - upper
-        hi = hi.copy()
-        todo = np.flatnonzero(lo < hi)
+        # Most buckets are empty or short: look at the first few places one by one.
+        todo = np.arange(len(ask))
+        for _ in range(NEAR):
+            at = lo[todo]
+            place = at + upper[todo]
+            inside = (self.high[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+            todo, at = todo[inside], at[inside]
+            low = self._lows(at)
+            equal = low == wanted[todo]
+            out[ask[todo[equal]]] = at[equal]
+            todo = todo[low < wanted[todo]]
+            lo[todo] += 1
+            if not len(todo):
+                return out
+        hi, far = np.zeros(len(ask), np.int64), todo
+        hi[far] = self._select(upper[far], False) - upper[far]
+        end = hi[far]
+        todo = far[lo[far] < end]
         while len(todo):
             mid = (lo[todo] + hi[todo]) >> 1
             less = self._lows(mid) < wanted[todo]
             lo[todo[less]] = mid[less] + 1
             hi[todo[~less]] = mid[~less]
             todo = todo[lo[todo] < hi[todo]]
-        found = np.flatnonzero(lo < end)
+        found = far[lo[far] < end]
         found = found[self._lows(lo[found]) == wanted[found]]
         out[ask[found]] = lo[found]
         return out

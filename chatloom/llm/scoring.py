@@ -70,8 +70,11 @@ def code(p: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-np.log2(p) * STEPS), 0, 65535).astype(np.uint16)
 
 
+_DECODED = np.exp2(np.arange(1 << 16) / -STEPS)
+
+
 def decoded(codes: np.ndarray) -> np.ndarray:
-    return np.exp2(codes.astype(np.float64) / -STEPS)
+    return _DECODED[codes]
 
 
 class Words:
@@ -130,14 +133,15 @@ def numbered_words(blocks: DataFrame, parts: int) -> DataFrame:
     """``(block, place, number, f, is_first)``: every block's words with their number and
     count in training documents; words that these do not hold have neither.
 
-    One shuffle by hash part: a word's number is its rank in the part's order, times the
-    number of parts, plus the part. ``is_first`` marks one row of every word.
+    One shuffle by hash part: a word's number is its rank in the part by count, times the
+    number of parts, plus the part, so frequent words have small numbers. ``is_first``
+    marks one row of every word.
     """
     rows = B.block_words(blocks).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
     same = Window.partitionBy("part", "word")
-    rank = F.dense_rank().over(Window.partitionBy("part").orderBy("word")) - 1
-    rows = rows.withColumn("number", rank * F.lit(parts) + F.col("part"))
     rows = rows.withColumn("f", F.sum("n").over(same)).withColumn("is_first", F.min("block").over(same) == F.col("block"))
+    rank = F.dense_rank().over(Window.partitionBy("part").orderBy(F.desc("f"), "word")) - 1
+    rows = rows.withColumn("number", rank * F.lit(parts) + F.col("part"))
     known = lambda c: F.when(F.col("f") > 0, F.col(c)).alias(c)
     return rows.select("block", "place", known("number"), known("f"), "is_first")
 
@@ -158,7 +162,7 @@ def encoded_blocks(blocks: DataFrame, shard_tokens: int) -> tuple[DataFrame, dic
         F.max("number").alias("sum_top"),
     ]
     rows = B.with_columns_of(blocks, found, ["number", "f"], *sums)
-    encoded = materialize(rows.select(*ENCODED, *(f"sum_{t}" for t in TOTALS)), "encoded")
+    encoded = materialize(rows.select(*ENCODED, *(f"sum_{t}" for t in TOTALS)), "encoded", "zstd")
     total = encoded.agg(
         *(F.coalesce(F.sum(f"sum_{t}"), F.lit(0)).alias(t) for t in TOTALS[:-1]), F.coalesce(F.max("sum_top"), F.lit(-1)).alias("top")
     ).first()
@@ -305,6 +309,12 @@ def build(packed: DataFrame, folder: str, model: dict) -> list[int]:
     return [r.shard for r in materialize(made, "shards").select("shard").collect()]
 
 
+def _located(sequence: Sequence, values: np.ndarray) -> np.ndarray:
+    """Equal values are looked up once, in order."""
+    distinct, which = np.unique(values, return_inverse=True)
+    return sequence.locate(distinct)[which]
+
+
 class Shard:
     """One shard's levels, looked up for many triples at once."""
 
@@ -312,6 +322,8 @@ class Shard:
         self.arrays, self.universe = arrays, universe
         for name in ("first", "pairs", "contexts", "slots", "triples"):
             setattr(self, name, Sequence(arrays, name))
+        # As many as there are middle words; asked for with every token.
+        self.start = self.first.get(np.arange(self.first.n))
 
     def shares(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
         """Share and what is left at the triple's context, then at the pair's."""
@@ -323,13 +335,13 @@ class Shard:
         known = known[held["middle"][at[known]] == b[known]]
         middle_left[known] = decoded(held["middle_left"][at[known]])
         met = known[(c[known] >= 0)]
-        place = self.pairs.locate(at[met] * universe + c[met])
+        place = _located(self.pairs, at[met] * universe + c[met])
         met, place = met[place >= 0], place[place >= 0]
         pair[met] = decoded(held["pair_share"][place])
         relative = np.full(len(b), -1, np.int64)
-        relative[met] = place - self.first.get(at[met])
+        relative[met] = place - self.start[at[met]]
         known = known[a[known] >= 0]
-        context = self.contexts.locate(at[known] * universe + a[known])
+        context = _located(self.contexts, at[known] * universe + a[known])
         known, context = known[context >= 0], context[context >= 0]
         context_left[known] = decoded(held["context_left"][context])
         both = relative[known] >= 0
@@ -372,7 +384,8 @@ def scores(encoded: DataFrame, folder: str, shards: list[int], model: dict, id:
             single = np.where(count > 0, (count - discount) / max(n, 1), unknown)
             p = single.copy()
             shard = np.where(w.number[last] >= 0, w.shards_of(second, last), -1)
-            order = np.argsort(shard, kind="stable")
+            # By shard and middle word, so that neighbours ask for neighbouring places.
+            order = np.argsort(shard * model["numbers"] + w.number[last])
             for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                 of = int(shard[part[0]])
                 if of not in present.value:
@@ -415,7 +428,7 @@ def score_documents(
     name = F.coalesce(F.col(id).cast("string"), F.lit(""))
     train = F.crc32(name.cast("binary")) % folds != held_out
     made = B.tokenized(docs.select(id, text), F.lit(""), F.col(id), train, F.col(text), words_of, END)
-    blocks = materialize(made, "blocks")
+    blocks = materialize(made, "blocks", "zstd")
     encoded, model = encoded_blocks(blocks, shard_tokens)
     release(docs.sparkSession)
     folder = scratch_path(docs.sparkSession, "model")
