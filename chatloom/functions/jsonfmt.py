@@ -98,7 +98,11 @@ def parse_json_text(raw: Column | str) -> Column:
 
 @contextmanager
 def repeated_keys(spark: SparkSession) -> Iterator[None]:
-    """Plans made inside take the last of an object's repeated keys, as ``json.loads`` does."""
+    """Plans made inside take the last of an object's repeated keys, as ``json.loads`` does.
+
+    A plan that is used twice in one (a join or union with itself) is made anew where it
+    is put together, so that has to happen inside as well.
+    """
     setting = "spark.sql.variant.allowDuplicateKeys"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "true")

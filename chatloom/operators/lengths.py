@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +55,14 @@ def truncate(
     )
 
 
+def _bucket_count(df: DataFrame, length: Column, room: int, n_buckets: int | None) -> Column:
+    """Buckets of about ``room`` each, or as many as given."""
+    if n_buckets is not None:
+        return F.lit(n_buckets).cast("bigint")
+    wanted = F.ceil(F.coalesce(F.sum(length), F.lit(0)) / F.lit(float(room)))
+    return df.agg(F.greatest(F.lit(1), wanted).cast("bigint").alias("n")).scalar()
+
+
 def pack(
     df: DataFrame,
     len_col: str,
@@ -73,15 +81,7 @@ def pack(
     """
     refuse_reserved(df, "bucket", "pack")
     key = order_key(seed, id)
-    if n_buckets is None:
-        room = float(budget * packs_per_bucket)
-        count = df.agg(
-            F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum(len_col), F.lit(0)) / F.lit(room)))
-            .cast("bigint")
-            .alias("n")
-        ).scalar()
-    else:
-        count = F.lit(n_buckets).cast("bigint")
+    count = _bucket_count(df, F.col(len_col), budget * packs_per_bucket, n_buckets)
     w = (
         Window.partitionBy("bucket")
         .orderBy("__cl_key", id)
@@ -94,3 +94,78 @@ def pack(
         .withColumn("pack", F.floor(start / F.lit(float(budget))).cast("bigint"))
         .drop("__cl_key")
     )
+
+
+def count_up_to(sorted_values: Column, limit: Column, most: int = 31) -> Column:
+    """How many values of a sorted array are at most ``limit``, by binary search."""
+    steps = F.filter(
+        F.array(*[F.lit(2**i) for i in range(most - 1, -1, -1)]), lambda step: step <= F.size(sorted_values)
+    )
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: at + F.when(F.get(sorted_values, at + step - 1) <= limit, step).otherwise(0),
+    )
+
+
+def pack_within_budget(
+    df: DataFrame,
+    len_col: str,
+    budget: int = SEQUENCE_LIMIT,
+    n_buckets: int | None = None,
+    seed: int | str = 0,
+    id: str = "id",
+    packs_per_bucket: int = 64,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Like :func:`pack`, but no pack passes the budget: adds ``bucket`` and ``pack``.
+
+    With ``by`` every group of these columns has buckets and packs of its own.
+
+    Examples are taken in hash order inside a bucket, and a pack ends before the example
+    that would pass the budget. Only an example that is longer than the budget itself
+    makes a longer pack, of its own. A missing length counts as 0.
+
+    No row waits for the pack before it: a bucket's running lengths are put into one
+    array, and each pack's first example is found by binary search for the end of the
+    one before. Two packs next to each other hold more than one budget, so a bucket has
+    at most twice as many packs as its length asks for. A bucket is a fixed number of
+    budgets long whatever the data volume (an example counts as one at least), so the
+    array does not grow with the table; the wide rows are shuffled once, by bucket.
+    """
+    refuse_reserved(df, "bucket", "pack")
+    length = F.coalesce(F.col(len_col), F.lit(0)).cast("bigint")
+    keyed = df.withColumn("__cl_key", order_key(seed, id)).withColumn("__cl_len", length)
+    same = [F.col(c).eqNullSafe(F.col(f"__cl_by_{c}")) for c in by]
+    groups = [F.col(c).alias(f"__cl_by_{c}") for c in by]
+    if by:
+        # One row per group; the adaptive planner sees how many there are.
+        wanted = F.ceil(F.sum(F.greatest("__cl_len", F.lit(1))) / F.lit(float(budget * packs_per_bucket)))
+        wanted = wanted if n_buckets is None else F.lit(n_buckets)
+        counts = keyed.groupBy(*groups).agg(F.greatest(F.lit(1), wanted).cast("bigint").alias("__cl_count"))
+        keyed = keyed.join(counts, same).drop(*(f"__cl_by_{c}" for c in by))
+    else:
+        count = _bucket_count(df, F.greatest(length, F.lit(1)), budget * packs_per_bucket, n_buckets)
+        keyed = keyed.withColumn("__cl_count", count)
+    keyed = keyed.withColumn("bucket", F.pmod(hash_bucket("__cl_key", 8), "__cl_count")).drop("__cl_count")
+    order = Window.partitionBy(*by, "bucket").orderBy("__cl_key", id)
+    upto = F.sum("__cl_len").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    narrow = keyed.select(*by, "bucket", "__cl_key", id, "__cl_len").withColumn("__cl_end", upto)
+    ends = narrow.groupBy(*groups, "bucket").agg(F.array_sort(F.collect_list("__cl_end")).alias("ends"))
+
+    def next_first(firsts: Column, _: Column) -> Column:
+        """Adds the first example after the last pack, if there is one."""
+        at = F.element_at(firsts, F.lit(-1))
+        before = F.when(at > 0, F.get("ends", at - 1)).otherwise(0)
+        after = F.greatest(at + 1, count_up_to(F.col("ends"), before + budget))
+        return F.when(after < F.size("ends"), F.concat(firsts, F.array(after))).otherwise(firsts)
+
+    most = (F.lit(2) * F.ceil(F.element_at("ends", F.lit(-1)) / F.lit(float(budget))) + 1).cast("int")
+    firsts = F.aggregate(F.sequence(F.lit(1), most), F.array(F.lit(0)), next_first)
+    packs = ends.select(
+        *(f"__cl_by_{c}" for c in by), F.col("bucket").alias("__cl_bucket"), firsts.alias("__cl_firsts")
+    )
+    placed = keyed.withColumn("__cl_at", F.row_number().over(order) - 1)
+    joined = placed.join(packs, [*same, F.col("bucket") == F.col("__cl_bucket")])
+    pack_of = (count_up_to(F.col("__cl_firsts"), F.col("__cl_at")) - 1).cast("bigint")
+    return joined.withColumn("pack", pack_of).select(*df.columns, "bucket", "pack")

@@ -587,8 +587,8 @@ QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20
 ORACLES["sample_to_share"] = with_(MIX) + "SELECT doc_id, lang, text FROM chosen"
 ORACLES["mix_concat"] = with_(MIX) + "SELECT * FROM mixed"
 ORACLES["mix_whole_rows"] = """
-SELECT *, 'english' AS part FROM documents WHERE lang = 'en'
-UNION ALL SELECT *, 'french' AS part FROM documents WHERE lang = 'fr'
+SELECT *, CASE lang WHEN 'en' THEN 'english' WHEN 'fr' THEN 'french' ELSE 'other' END AS part
+FROM documents
 """
 ORACLES["seeded_shuffle"] = with_(MIX) + """
 SELECT *, row_number() OVER (
@@ -651,6 +651,68 @@ SELECT doc_id, n, bucket, floor((sum(n) OVER (PARTITION BY bucket ORDER BY k, do
 FROM placed
 """
 
+
+
+def packs(rows: str, group: str, key: str, budget: int) -> str:
+    """CTEs that add ``pack`` to ``rows(n, bucket)`` one example after the other."""
+    return f"""
+lined AS (
+  SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY {key}) AS place FROM {rows}
+),
+walk AS (
+  SELECT {group}, place, n AS fill, 0::BIGINT AS pack FROM lined WHERE place = 1
+  UNION ALL
+  SELECT {', '.join('l.' + c.strip() for c in group.split(','))}, l.place,
+    CASE WHEN w.fill + l.n <= {budget} THEN w.fill + l.n ELSE l.n END,
+    CASE WHEN w.fill + l.n <= {budget} THEN w.pack ELSE w.pack + 1 END
+  FROM walk w JOIN lined l ON l.place = w.place + 1
+    AND {' AND '.join(f'l.{c.strip()} = w.{c.strip()}' for c in group.split(','))}
+)"""
+
+
+def bucket_of(k: str, n: str, room: int, over: str = "") -> str:
+    """The bucket of a hash key, of as many as the total length asks for."""
+    return (
+        f"('0x' || substr({k}, 1, 8))::UBIGINT::BIGINT"
+        f" % greatest(1, ceil(sum(greatest({n}, 1)) OVER ({over}) / {room}.0::DOUBLE))::BIGINT"
+    )
+
+
+ORACLES["pack_within_budget"] = f"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, ceil(length(text) / 4.0)::BIGINT AS n, md5('0::' || doc_id) AS k FROM documents
+),
+placed AS (SELECT *, {bucket_of('k', 'n', 32768)} AS bucket FROM sized),
+{packs('placed', 'bucket', 'k, doc_id', 2048)}
+SELECT doc_id, n, bucket, pack FROM lined JOIN walk USING (bucket, place)
+"""
+
+ORACLES["configured_rows"] = with_(TRIPLES).replace("WITH", "WITH RECURSIVE", 1) + f"""
+, listed AS (
+  SELECT CASE WHEN length(input) < 200 THEN 'brief' ELSE 'detailed' END AS dataset,
+    printf('%08d.%06d', conv_id, turn) AS id,
+    '<start_of_turn>user' || chr(10) || task || chr(10) || chr(10) || input || '<end_of_turn>' ||
+    chr(10) || '<start_of_turn>model' || chr(10) || output || '<end_of_turn>' || chr(10) AS whole
+  FROM triple QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY id) <= 400
+),
+cut AS (
+  SELECT dataset, id, md5('42::' || dataset || '/' || id) AS k, dataset || '/' || id AS name,
+    len(regexp_extract_all(whole, '\\S+')) > 96 AS was_truncated,
+    CASE WHEN was_truncated THEN array_to_string(regexp_extract_all(whole, '\\s*\\S+')[1:96], '') ELSE whole END AS text
+  FROM listed
+),
+halves AS (
+  SELECT *, len(regexp_extract_all(text, '\\S+'))::BIGINT AS n, CASE
+    WHEN row_number() OVER (ORDER BY k, name) <= ceil(count(*) OVER () * 0.1::DOUBLE)
+    THEN 'eval' ELSE 'train' END AS split
+  FROM cut
+),
+placed AS (SELECT *, {bucket_of('k', 'n', 96 * 64, 'PARTITION BY split')} AS bucket FROM halves),
+{packs('placed', 'split, bucket', 'k, name', 96)}
+SELECT dataset, id, split, text, was_truncated, n AS n_tokens, bucket, pack
+FROM lined JOIN walk USING (split, bucket, place)
+"""
+
 # Generation requests
 ORACLES["safe_batch"] = f"""
 SELECT part, count, tokens, batch, least(20000, tokens * batch * 2)::BIGINT AS max_output_tokens
@@ -746,6 +808,34 @@ SELECT job_id, next + i AS batch_id, 200::BIGINT AS tokens, least(10, missing -
   400 * least(10, missing - 10 * i) AS max_output_tokens
 FROM slots
 """
+ORACLES["generation_round"] = R + USABLE + f"""
+, per_job AS (
+  SELECT doc_id // 100 AS job_id, count(*) AS total FROM documents GROUP BY 1
+),
+asked AS (
+  SELECT job_id, total, batch_id, least(10, total - batch_id * 10) AS count
+  FROM (SELECT *, unnest(range((total + 9) // 10)) AS batch_id FROM per_job)
+),
+state AS (
+  SELECT job_id, max(batch_id) + 1 AS next, (any_value(total) - sum(coalesce(accepted, count)))::BIGINT AS missing
+  FROM asked LEFT JOIN usable USING (job_id, batch_id) GROUP BY job_id
+),
+sent AS (
+  SELECT 'retry' AS kind, job_id, batch_id, count, total - batch_id * 10 AS remaining_before
+  FROM asked ANTI JOIN usable USING (job_id, batch_id)
+  UNION ALL
+  SELECT 'followup', job_id, next + i, least(10, missing - 10 * i), missing - 10 * i
+  FROM (SELECT *, unnest(range((missing + 9) // 10)) AS i FROM state WHERE missing > 0)
+),
+asking AS (
+  SELECT *, 200 AS tokens, {USER} || chr(10) || 'SEED: ' || (11 + batch_id)::VARCHAR AS "user" FROM sent
+)
+SELECT kind, job_id, batch_id, count::BIGINT AS count, remaining_before::BIGINT AS remaining_before, "user",
+  '{{"model":"small-model","input":[{{"role":"assistant","content":' || {js(SYSTEM)} ||
+  '}},{{"role":"user","content":' || {js('"user"')} || '}}],"max_output_tokens":' || 400 * count ||
+  ',"reasoning":{{"effort":"low"}}}}' AS payload
+FROM asking
+"""
 ORACLES["pending_requests"] = R + """
 , per_job AS (
   SELECT doc_id // 100 AS job_id, count(*) AS total FROM documents GROUP BY 1

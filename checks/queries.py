@@ -21,10 +21,11 @@ from chatloom.operators.rendering import (
     render_conversations,
 )
 from chatloom.operators.shaping import explode_rows
-from chatloom.plans.generation import accepted_annotations, rejected_items
+from chatloom.plans.generation import accepted_annotations, next_round, rejected_items, request_rows
 from chatloom.plans.training_text import (
     annotation_training_splits,
     annotation_training_text,
+    configured_training_rows,
     instruction_training_text,
     reasoning_chat_mix,
 )
@@ -437,8 +438,9 @@ def mix_concat(spark, sf):
 
 @query
 def mix_whole_rows(spark, sf):
-    base, pool = documents(spark, sf).where("lang = 'en'"), documents(spark, sf).where("lang = 'fr'")
-    return mixing.mix({"english": base, "french": pool}, "part")
+    d = documents(spark, sf)
+    parts = {"english": "lang = 'en'", "french": "lang = 'fr'", "other": "lang not in ('en', 'fr')"}
+    return mixing.mix({name: d.where(part) for name, part in parts.items()}, "part")
 
 
 @query
@@ -495,6 +497,21 @@ def pack_sequences(spark, sf):
     return lengths.pack(d, "n", 2048, id="doc_id", seed=0, packs_per_bucket=16)
 
 
+@query
+def pack_within_budget(spark, sf):
+    d = documents(spark, sf).select("doc_id", estimate_length("text", "chars4").alias("n"))
+    return lengths.pack_within_budget(d, "n", 2048, id="doc_id", seed=0, packs_per_bucket=16)
+
+
+@query
+def configured_rows(spark, sf):
+    rows = inputs.triples(spark, sf).withColumn("id", F.format_string("%08d.%06d", "conv_id", "turn"))
+    brief = F.length("input") < 200
+    datasets = {"brief": rows.where(brief), "detailed": rows.where(~brief)}
+    made = configured_training_rows(datasets, cutoff=96, most_rows=400, packing=True)
+    return made.select("dataset", "id", "split", "text", "was_truncated", "n_tokens", "bucket", "pack")
+
+
 # Generation requests ---------------------------------------------------------
 
 
@@ -605,6 +622,15 @@ def generation_followups(spark, sf):
     return req.followup_requests(jobs, req.plan_requests(jobs), _accepted(spark, sf))
 
 
+@query
+def generation_round(spark, sf):
+    jobs = inputs.generation_jobs(spark, sf)
+    sent = request_rows(jobs, "small-model", 11)
+    return next_round(jobs, sent, inputs.response_attempts(spark, sf), "small-model", 11).select(
+        "kind", "job_id", "batch_id", "count", "remaining_before", "user", "payload"
+    )
+
+
 @query
 def pending_requests(spark, sf):
     planned = req.plan_requests(inputs.generation_jobs(spark, sf))

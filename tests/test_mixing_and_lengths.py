@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +119,56 @@ def test_bucket_count_follows_the_volume(spark):
         lengths.pack(d, "n", 100, packs_per_bucket=5).select("bucket").distinct().count()
     )
     assert count(small) == 2 and count(large) == 200
+
+
+def greedy(sizes, budget):
+    packs, fill, pack = [], 0, -1
+    for n in sizes:
+        if pack < 0 or fill + n > budget:
+            fill, pack = 0, pack + 1
+        fill += n
+        packs.append(pack)
+    return packs
+
+
+def test_pack_within_budget(spark):
+    import random
+
+    rng = random.Random(5)
+    for budget, n_buckets in ((64, 4), (10, None), (1, 2), (5000, 3)):
+        sizes = [rng.choice([0, 1, 3, 7, 20, 63, 64, 65, 500, None]) for _ in range(400)]
+        df = spark.createDataFrame(list(enumerate(sizes)), "id INT, n INT").repartition(5)
+        packed = lengths.pack_within_budget(df, "n", budget, n_buckets, seed=1).collect()
+        buckets = {}
+        for r in packed:
+            key = hashlib.md5(f"1::{r.id}".encode()).hexdigest()
+            buckets.setdefault(r.bucket, []).append((key, r.id, r.n or 0, r.pack))
+        assert sorted(r.id for r in packed) == list(range(400))
+        for rows in buckets.values():
+            rows.sort()
+            assert [r[3] for r in rows] == greedy([r[2] for r in rows], budget)
+
+
+def test_pack_within_budget_by_group(spark):
+    rows = [(i, ("a", None)[i % 3 == 0], i % 17) for i in range(300)]
+    df = spark.createDataFrame(rows, "id INT, side STRING, n INT")
+    both = lengths.pack_within_budget(df, "n", 20, seed=2, by=["side"])
+    for side in ("side = 'a'", "side is null"):
+        alone = lengths.pack_within_budget(df.where(side), "n", 20, seed=2)
+        assert sorted(map(str, both.where(side).collect())) == sorted(map(str, alone.collect()))
+    assert lengths.pack_within_budget(df.limit(0), "n", 20).count() == 0
+
+
+def test_configured_run(spark):
+    from chatloom.plans.training_text import configured_training_rows
+
+    rows = [(i, "Do it.", f"question {i}", "word " * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "id INT, task STRING, input STRING, expected_output STRING")
+    made = configured_training_rows({"a": df, "b": df.where("id < 7")}, cutoff=20, most_rows=10, eval_fraction=0.2, packing=True).collect()
+    assert sorted((r.dataset, r.id) for r in made) == [("a", i) for i in range(10)] + [("b", i) for i in range(7)]
+    assert sum(r.split == "eval" for r in made) == 4
+    assert all(r.n_tokens <= 20 and len(r.text.split()) == r.n_tokens for r in made)
+    fills = {}
+    for r in made:
+        fills[r.split, r.bucket, r.pack] = fills.get((r.split, r.bucket, r.pack), 0) + r.n_tokens
+    assert max(fills.values()) <= 20
