@@ -290,3 +290,37 @@ def test_pipeline_equals_the_stages_by_brute_force(spark, small):
             assert out.columns == columns
             docs = out
     assert {r.doc_id for r in corpus_pipeline.run(spark, small).collect()} == set(after)
+
+
+def test_near_passages_by_similarity():
+    """Insertions, deletions and replacements of 1 to 14 words, wherever similarity is 0.8."""
+    rng = random.Random(4)
+    words = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    shingles = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    found = asked = 0
+    for n in (60, 90, 120, 300):
+        for kind in ("insert", "delete", "replace"):
+            for k in range(1, 15):
+                for _ in range(3):
+                    passage, at = words(n), rng.randrange(5, n - 5 - k)
+                    new = [] if kind == "delete" else words(k)
+                    copy = passage[:at] + new + passage[at + k * (kind != "insert") :]
+                    p, q = shingles(passage), shingles(copy)
+                    if len(p & q) < passages.SIMILARITY * len(p | q):
+                        continue
+                    before = words(rng.randrange(100))
+                    held = set()
+                    for r in passages_of(words(rng.randrange(100)) + passage + words(50), before + copy + words(50)):
+                        held |= set(range(r[2], r[3] + passages.SHINGLE))
+                    span = set(range(len(before), len(before) + len(copy)))
+                    asked += 1
+                    found += len(held & span) >= 0.8 * len(copy)
+    assert asked > 250 and found >= 0.9 * asked
+
+
+def test_one_row_per_periodic_stretch():
+    rng = random.Random(8)
+    line = [f"w{i}" for i in range(10)]
+    a, b = (["x%d" % rng.randrange(10**6) for _ in range(60)] + line * 20 + ["y%d" % rng.randrange(10**6)] for _ in range(2))
+    rows = passages_of(a, b)
+    assert len(rows) == 1 and rows[0][1] - rows[0][0] + passages.SHINGLE == 200
