@@ -148,7 +148,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 16)
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 16, grown=17)
     return placed.select(
         "doc_id",
         "size",
@@ -158,6 +158,7 @@ def op8_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("slot").cast("bigint").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
+        "next_shard",
     )
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import materialize
+from chatloom.session import scratch_path
 
 SLOTS = 4096
 
@@ -155,17 +156,27 @@ def shard_documents(
     text: str = "text",
     slots: int = SLOTS,
     map_folder: str | None = None,
+    grown: int | None = None,
 ) -> DataFrame:
     """``(id, size, text_crc32, virtual_slot, shard, slot)`` of every record.
 
-    With ``map_folder`` the map is stored there as version 1.
+    The map is stored as version 1 and records are placed by what is read back. With
+    ``grown`` shards version 1 is edited into version 2, which is stored and read back
+    as well; ``next_shard`` is a record's shard under it.
     """
+    spark = docs.sparkSession
+    folder = map_folder or scratch_path(spark, "slot_map")
     sized = materialize(sized_records(docs, id, text, slots), "sized_records")
     size, rows = slot_totals(sized, slots)
-    slot_map = new_map(size, shards)
-    if map_folder:
-        save_map(docs.sparkSession, slot_map, map_folder)
-    return place(sized, slot_map, rows, id)
+    save_map(spark, new_map(size, shards), folder)
+    current = load_map(spark, folder, 1)
+    placed = place(sized, current, rows, id)
+    if grown is None:
+        return placed
+    save_map(spark, rebalanced(current, size, grown), folder)
+    later = load_map(spark, folder, 2)
+    moved = spark.createDataFrame(list(enumerate(later.shard_of)), "virtual_slot int, next_shard int")
+    return placed.join(F.broadcast(moved), "virtual_slot")
 
 
 def write_shards(docs: DataFrame, slot_map: SlotMap, folder: str, id: str = "doc_id", text: str = "text") -> None:
