@@ -138,6 +138,8 @@ def numbered_words(blocks: DataFrame, parts: int) -> DataFrame:
     marks one row of every word.
     """
     rows = B.block_words(blocks).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
+    # Dealt by part alone, which serves the windows over parts and those over words.
+    rows = rows.repartition("part")
     same = Window.partitionBy("part", "word")
     rows = rows.withColumn("f", F.sum("n").over(same)).withColumn("is_first", F.min("block").over(same) == F.col("block"))
     rank = F.dense_rank().over(Window.partitionBy("part").orderBy(F.desc("f"), "word")) - 1
