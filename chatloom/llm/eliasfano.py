@@ -13,7 +13,6 @@ for _b in range(256):
     _SELECT[_b, : _POP[_b]] = [i for i in range(8) if _b >> i & 1]
 _ADD = np.uint64(0x0101010101010101)
 SAMPLE = 32
-NEAR = 4
 
 
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -106,34 +105,26 @@ class Sequence:
             return out
         upper = values[ask] >> self.low_bits
         wanted = values[ask] & ((1 << self.low_bits) - 1)
-        lo = np.zeros(len(ask), np.int64)
-        past = upper > 0
-        lo[past] = self._select(upper[past] - 1, False) - (upper[past] - 1)
-        # Most buckets are empty or short: look at the first few places one by one.
-        todo = np.arange(len(ask))
-        for _ in range(NEAR):
-            at = lo[todo]
-            place = at + upper[todo]
-            inside = (self.high[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-            todo, at = todo[inside], at[inside]
-            low = self._lows(at)
-            equal = low == wanted[todo]
-            out[ask[todo[equal]]] = at[equal]
-            todo = todo[low < wanted[todo]]
-            lo[todo] += 1
-            if not len(todo):
-                return out
-        hi, far = np.zeros(len(ask), np.int64), todo
-        hi[far] = self._select(upper[far], False) - upper[far]
-        end = hi[far]
-        todo = far[lo[far] < end]
+        # Neighbours with equal upper bits share a bucket, whose ends are looked up once.
+        first = np.flatnonzero(np.r_[True, upper[1:] != upper[:-1]])
+        bucket = upper[first]
+        begin, past = np.zeros(len(first), np.int64), bucket > 0
+        begin[past] = self._select(bucket[past] - 1, False) - (bucket[past] - 1)
+        end = self._select(bucket, False) - bucket
+        asked = np.diff(np.r_[first, len(upper)])
+        lo, end = np.repeat(begin, asked), np.repeat(end, asked)
+        # Those still searched: where they stand, and between which places.
+        todo = np.flatnonzero(lo < end)
+        left, right, goal = lo[todo], end[todo], wanted[todo]
         while len(todo):
-            mid = (lo[todo] + hi[todo]) >> 1
-            less = self._lows(mid) < wanted[todo]
-            lo[todo[less]] = mid[less] + 1
-            hi[todo[~less]] = mid[~less]
-            todo = todo[lo[todo] < hi[todo]]
-        found = far[lo[far] < end]
+            mid = (left + right) >> 1
+            less = self._lows(mid) < goal
+            left, right = np.where(less, mid + 1, left), np.where(less, right, mid)
+            ended = left == right
+            lo[todo[ended]] = left[ended]
+            more = ~ended
+            todo, left, right, goal = todo[more], left[more], right[more], goal[more]
+        found = np.flatnonzero(lo < end)
         found = found[self._lows(lo[found]) == wanted[found]]
         out[ask[found]] = lo[found]
         return out
@@ -155,6 +146,8 @@ def to_bytes(arrays: dict[str, np.ndarray]) -> bytes:
 
 def from_buffer(data: np.ndarray) -> dict[str, np.ndarray]:
     """Views of the arrays of a blob, which may be a memory map of bytes."""
+    # A plain array over the same memory: taking from a memory map's own class costs more.
+    data = data.view(np.ndarray)
     (size,) = struct.unpack("<Q", data[:8].tobytes())
     places = json.loads(data[8 : 8 + size].tobytes())
     out = {}

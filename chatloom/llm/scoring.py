@@ -343,12 +343,16 @@ class Shard:
         relative = np.full(len(b), -1, np.int64)
         relative[met] = place - self.start[at[met]]
         known = known[a[known] >= 0]
-        context = _located(self.contexts, at[known] * universe + a[known])
-        known, context = known[context >= 0], context[context >= 0]
-        context_left[known] = decoded(held["context_left"][context])
+        distinct, which = np.unique(at[known] * universe + a[known], return_inverse=True)
+        context = self.contexts.locate(distinct)
+        held_by = context >= 0
+        slots = np.zeros(len(distinct), np.int64)
+        slots[held_by] = self.slots.get(context[held_by])
+        known, which = known[held_by[which]], which[held_by[which]]
+        context_left[known] = decoded(held["context_left"][context[which]])
         both = relative[known] >= 0
-        known, context = known[both], context[both]
-        slot = self.triples.locate(self.slots.get(context) + relative[known])
+        known, which = known[both], which[both]
+        slot = _located(self.triples, slots[which] + relative[known])
         triple[known[slot >= 0]] = decoded(held["triple_share"][slot[slot >= 0]])
         return triple, context_left, pair, middle_left
 
