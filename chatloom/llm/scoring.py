@@ -140,9 +140,11 @@ def numbered_words(blocks: DataFrame, parts: int) -> DataFrame:
     rows = B.block_words(blocks).withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)))
     # Dealt by part alone, which serves the windows over parts and those over words.
     rows = rows.repartition("part")
-    same = Window.partitionBy("part", "word")
+    # Sorted by a hash first: rows compare by one number, and by the word only where it ties.
+    rows = rows.withColumn("key", F.xxhash64("word"))
+    same = Window.partitionBy("key", "word", "part")
     rows = rows.withColumn("f", F.sum("n").over(same)).withColumn("is_first", F.min("block").over(same) == F.col("block"))
-    rank = F.dense_rank().over(Window.partitionBy("part").orderBy(F.desc("f"), "word")) - 1
+    rank = F.dense_rank().over(Window.partitionBy("part").orderBy(F.desc("f"), "key", "word")) - 1
     rows = rows.withColumn("number", rank * F.lit(parts) + F.col("part"))
     known = lambda c: F.when(F.col("f") > 0, F.col(c)).alias(c)
     return rows.select("block", "place", known("number"), known("f"), "is_first")
