@@ -84,11 +84,10 @@ class Words:
     def __init__(self, row: dict, model: dict):
         n = self.begin = row["n_words"]
         self.shards = model["shards"]
-        empty = np.zeros(0, np.int64)
-        self.number, self.count = (
-            np.r_[B.by_place(empty if row[c] is None else row[c], n, missing), end]
-            for c, missing, end in (("number", -1, model["numbers"]), ("f", 0, 0))
-        )
+        number, f = (np.zeros(0, np.int64) if row[c] is None else row[c] for c in ("number", "f"))
+        self.number = np.r_[B.by_place(number, n, -1), model["numbers"]]
+        self.count = np.zeros(n + 1, np.int64)
+        self.count[number >> (63 - B.PLACE_BITS)] = f
         self.spread = np.maximum(-(-self.count // model["shard_tokens"]), 1)
         self.tokens = B.unpacked(row["tokens"])
         self.starts = np.cumsum(row["lengths"]) - row["lengths"]
@@ -165,7 +164,9 @@ def encoded_blocks(blocks: DataFrame, shard_tokens: int) -> tuple[DataFrame, dic
         F.count_if(first & (F.col("f") == 2)).alias("sum_twice"),
         F.max("number").alias("sum_top"),
     ]
-    rows = B.with_columns_of(blocks, found, ["number", "f"], *sums)
+    # One list is gathered row by row with the other, so counts need no places of their own.
+    counts = F.collect_list("f").alias("f")
+    rows = B.with_columns_of(blocks, found, ["number"], counts, *sums)
     encoded = materialize(rows.select(*ENCODED, *(f"sum_{t}" for t in TOTALS)), "encoded", "zstd")
     total = encoded.agg(
         *(F.coalesce(F.sum(f"sum_{t}"), F.lit(0)).alias(t) for t in TOTALS[:-1]), F.coalesce(F.max("sum_top"), F.lit(-1)).alias("top")
@@ -240,7 +241,7 @@ def _added(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sums of their counts."""
     if not len(key):
         return key, n
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     return key[first], np.add.reduceat(n[order], first)
