@@ -230,7 +230,8 @@ def _once(b: np.ndarray, c: np.ndarray, n: np.ndarray, shard: np.ndarray) -> tup
 
 
 def _sharded(shard: np.ndarray, kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.argsort(shard, kind="stable")
+    # Narrow whole numbers are sorted by their digits.
+    order = np.argsort(shard.astype(np.min_scalar_type(shard.max(initial=0))), kind="stable")
     shard = shard[order]
     for part, of in zip(np.split(order, np.flatnonzero(np.diff(shard)) + 1), np.unique(shard).tolist()):
         values = (of, kind, *(B.packed(x[part]) for x in columns))
