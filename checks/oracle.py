@@ -628,6 +628,17 @@ FROM (SELECT lang, {length} AS l FROM documents) GROUP BY lang
 
 ORACLES["length_stats"] = stats(WORDS)
 ORACLES["length_stats_chars4"] = stats("ceil(length(text) / 4.0)::BIGINT")
+ORACLES["length_quantiles"] = f"""
+SELECT lang, share, n, lens[greatest(ceil(share * n), 1)::INT] AS len
+FROM (
+  SELECT lang, count(*) AS n, list_sort(list({WORDS})) AS lens, unnest([0.5, 0.9, 0.99]::DOUBLE[]) AS share
+  FROM documents GROUP BY lang
+)
+"""
+ORACLES["length_sketch_ranks"] = """
+SELECT lang, unnest([0.5, 0.9, 0.99]::DOUBLE[]) AS share, count(*) AS n, true AS within
+FROM documents GROUP BY lang
+"""
 ORACLES["truncate_examples"] = f"""
 SELECT doc_id, {WORDS} > 200 AS was_truncated,
   CASE WHEN {WORDS} > 200

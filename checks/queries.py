@@ -11,7 +11,7 @@ from chatloom.fixed_values import EXTRACTION_NOTE_TAG_PROMPT, EXTRACTION_SYSTEM_
 from chatloom.functions.batching import max_output_tokens, safe_batch
 from chatloom.functions.jsonfmt import entities_json, json_string
 from chatloom.functions.templates import CHATML, GEMMA, LLAMA, fill_template
-from chatloom.functions.text import estimate_length, preview
+from chatloom.functions.text import estimate_length, preview, word_count
 from chatloom.operators import lengths, masking, messages, mixing, normalize, quality
 from chatloom.operators import requests as req
 from chatloom.operators import responses as resp
@@ -479,6 +479,27 @@ def length_stats_chars4(spark, sf):
     return lengths.length_stats(documents(spark, sf), "lang", est="chars4")
 
 
+@query
+def length_quantiles(spark, sf):
+    return lengths.length_quantiles(documents(spark, sf), "lang")
+
+
+@query
+def length_sketch_ranks(spark, sf):
+    """Sketches per source, merged per language; whether each estimate's rank is in its bound."""
+    k, docs = 800, documents(spark, sf)
+    merged = lengths.merge_length_sketches(lengths.length_sketches(docs, "lang", "source", k=k), "lang", k=k)
+    estimates = lengths.sketched_quantiles(merged, "lang").withColumnRenamed("len", "at")
+    sizes = docs.select("lang", word_count("text").alias("len")).groupBy("lang", "len").agg(F.count(F.lit(1)).alias("c"))
+    ranks = estimates.join(sizes, "lang").groupBy("lang", "share", "n").agg(
+        F.coalesce(F.sum(F.when(F.col("len") < F.col("at"), F.col("c"))), F.lit(0)).alias("below"),
+        F.coalesce(F.sum(F.when(F.col("len") <= F.col("at"), F.col("c"))), F.lit(0)).alias("upto"),
+    )
+    place, off = F.col("share") * F.col("n"), F.lit(lengths.sketch_rank_error(k)) * F.col("n") + 1
+    within = (F.col("below") <= place + off) & (F.col("upto") >= place - off)
+    return ranks.select("lang", "share", "n", within.alias("within"))
+
+
 @query
 def truncate_examples(spark, sf):
     cut = lengths.truncate(documents(spark, sf), limit=200)

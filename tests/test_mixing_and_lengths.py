@@ -1,4 +1,6 @@
+import bisect
 import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +174,55 @@ def test_configured_run(spark):
     for r in made:
         fills[r.split, r.bucket, r.pack] = fills.get((r.split, r.bucket, r.pack), 0) + r.n_tokens
     assert max(fills.values()) <= 20
+
+
+def texts_of(spark, n):
+    """Word counts 0 to 1,999 in a skewed order, a third of all rows in group a."""
+    words = F.repeat(F.lit("w "), (F.col("id") * F.col("id") % 2000).cast("int"))
+    text = F.when(F.col("id") % 50 != 7, words)
+    group = F.when(F.col("id") % 3 == 0, "a").otherwise(F.concat(F.lit("g"), F.col("id") % 5))
+    return spark.range(n).select("id", group.alias("g"), text.alias("text"), F.lit("own").alias("len"))
+
+
+def lengths_by_group(rows):
+    found = {}
+    for r in rows:
+        found.setdefault(r.g, []).append(len((r.text or "").split()))
+    return {g: sorted(v) for g, v in found.items()}
+
+
+def test_length_quantiles_are_exact(spark):
+    df = texts_of(spark, 3000).repartition(7)
+    want = lengths_by_group(df.collect())
+    shares = (0.0, 0.25, 0.5, 0.99, 1.0)
+    got = lengths.length_quantiles(df, "g", shares=shares).collect()
+    assert len(got) == len(want) * len(shares)
+    for r in got:
+        values = want[r.g]
+        place = max(1, math.ceil(r.share * len(values)))
+        assert (r.n, r.len) == (len(values), values[place - 1])
+    every = sorted(v for values in want.values() for v in values)
+    whole = {r.share: r.len for r in lengths.length_quantiles(df).collect()}
+    assert whole == {s: every[math.ceil(s * 3000) - 1] for s in (0.5, 0.9, 0.99)}
+    assert lengths.length_quantiles(df.limit(0), "g").count() == 0
+    with pytest.raises(ValueError):
+        lengths.length_quantiles(df, "g", "len")
+
+
+def test_merged_sketches_keep_their_rank_error(spark):
+    k, df = 200, texts_of(spark, 20_000)
+    parts = [df.where(F.col("id") % 4 == i) for i in range(4)]
+    made = [lengths.length_sketches(p.repartition(3), "g", k=k) for p in parts]
+    all_parts = made[0].union(made[1]).union(made[2]).union(made[3])
+    merged = lengths.merge_length_sketches(all_parts, "g", k=k)
+    want = lengths_by_group(df.collect())
+    got = lengths.sketched_quantiles(merged, "g", shares=(0.1, 0.5, 0.9, 0.99)).collect()
+    assert len(got) == 4 * len(want)
+    for r in got:
+        values = want[r.g]
+        assert r.n == len(values)
+        # Twice the bound of 99 cases in 100, since the sketches draw at random.
+        off = 2 * lengths.sketch_rank_error(k) * r.n + 1
+        assert bisect.bisect_left(values, r.len) <= r.share * r.n + off
+        assert bisect.bisect_right(values, r.len) >= r.share * r.n - off
+    assert lengths.sketched_quantiles(lengths.length_sketches(df.limit(0))).count() == 0
