@@ -13,6 +13,7 @@ for _b in range(256):
     _SELECT[_b, : _POP[_b]] = [i for i in range(8) if _b >> i & 1]
 _ADD = np.uint64(0x0101010101010101)
 SAMPLE = 32
+TOGETHER = 8  # places read per value asked for, at most, to merge instead of searching
 
 
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -112,6 +113,18 @@ class Sequence:
         begin[past] = self._select(bucket[past] - 1, False) - (bucket[past] - 1)
         end = self._select(bucket, False) - bucket
         asked = np.diff(np.r_[first, len(upper)])
+        held = np.maximum(end - begin, 0)
+        if held.sum() <= TOGETHER * len(ask):
+            # The buckets hold about as much as is asked for: read them whole and merge.
+            of = np.repeat(np.arange(len(first)), held)
+            at = np.arange(len(of)) + np.repeat(begin - (np.cumsum(held) - held), held)
+            there = (of << self.low_bits) | self._lows(at)
+            asked_for = (np.repeat(np.arange(len(first)), asked) << self.low_bits) | wanted
+            place = np.searchsorted(there, asked_for)
+            found = np.flatnonzero(place < len(there))
+            found = found[there[place[found]] == asked_for[found]]
+            out[ask[found]] = at[place[found]]
+            return out
         lo, end = np.repeat(begin, asked), np.repeat(end, asked)
         # Those still searched: where they stand, and between which places.
         todo = np.flatnonzero(lo < end)

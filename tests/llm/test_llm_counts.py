@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from chatloom.llm import blocks, collocations, divergence, scoring
+from chatloom.llm import blocks, collocations, divergence, eliasfano, scoring
 from chatloom.llm.collocations import Trie
 from chatloom.llm.eliasfano import Sequence, from_buffer, to_bytes
 
@@ -255,3 +255,18 @@ def test_very_long_text(spark):
     scores = {r.doc_id: r for r in scoring.score_documents(docs).collect()}
     assert scores[1].n_tokens == 600_001
     assert sorted(map(tuple, divergence.audit(docs).collect())) == naive_divergence(rows)
+
+
+@pytest.mark.parametrize("together", [0, 8, 1 << 40])
+def test_located_places(monkeypatch, together):
+    monkeypatch.setattr(eliasfano, "TOGETHER", together)
+    rng = np.random.default_rng(3)
+    dense, wide = np.arange(5000, 9000), rng.integers(0, 1 << 41, 3000)
+    for values in (np.unique(np.r_[dense, wide]), dense, np.zeros(0, np.int64), np.array([7]), np.repeat([0, 3, 900], 40)):
+        held = eliasfano.Sequence(eliasfano.Sequence.arrays(values, "v"), "v")
+        ask = np.r_[values, values + 1, rng.integers(0, 1 << 41, 500), -1, 0]
+        for asked in (ask, np.sort(ask), ask[:0]):
+            at = np.searchsorted(values, asked)
+            known = np.isin(asked, values)
+            assert np.array_equal(held.locate(asked), np.where(known, at, -1))
+        assert np.array_equal(held.get(np.arange(len(values))), values)
