@@ -51,10 +51,10 @@ def length_quantiles(
     counts = counts.agg(F.count(F.lit(1)).alias("__cl_rows"))
     # Without groups one constant stands in; its rows are as few as there are lengths.
     groups = [F.col(c) for c in by] or [F.lit(0)]
-    whole = Window.partitionBy(*groups)
-    upto = whole.orderBy("__cl_len").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = counts.withColumn("__cl_upto", F.sum("__cl_rows").over(upto))
-    upto = upto.withColumn("n", F.sum("__cl_rows").over(whole))
+    in_order = Window.partitionBy(*groups).orderBy("__cl_len")
+    first, last = Window.unboundedPreceding, Window.unboundedFollowing
+    upto = counts.withColumn("__cl_upto", F.sum("__cl_rows").over(in_order.rowsBetween(first, Window.currentRow)))
+    upto = upto.withColumn("n", F.sum("__cl_rows").over(in_order.rowsBetween(first, last)))
     asked = F.array(*[F.lit(float(s)) for s in shares])
     wanted = upto.withColumn("share", F.explode(asked))
     place = F.greatest(F.ceil(F.col("share") * F.col("n")), F.lit(1))
