@@ -42,7 +42,8 @@ def plan_requests(
     ids start at the column ``first_batch``, or at 0.
 
     Rows are produced in two steps with a shuffle of small chunk rows between,
-    so one huge job is spread over tasks and never sits in one array.
+    so one huge job is spread over tasks and never sits in one array. They come
+    ordered by size within a task.
     """
     spec = jobs.select(
         F.col(job).alias(job),
@@ -60,9 +61,13 @@ def plan_requests(
         F.lit(0).cast("bigint"), F.col("n_requests") - 1, F.lit(size).cast("bigint")
     )
     # A fixed number of partitions: chunk rows are tiny, and the adaptive planner
-    # would merge them into one task before they expand.
+    # would merge them into one task before they expand. Requests of equal sizes have
+    # equal prompts, so they stand together, where files compress them best; job and
+    # chunk split a size that very many requests share.
     tasks = int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = sized.withColumn("first", F.explode(starts)).repartition(tasks, job, "first")
+    order = ["tokens", "step", job, "first"]
+    chunks = sized.withColumn("first", F.explode(starts))
+    chunks = chunks.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     last = F.least(F.col("first") + (size - 1), F.col("n_requests") - 1)
     rows = chunks.withColumn("number", F.explode(F.sequence("first", last)))
     remaining = F.col("total") - F.col("number") * F.col("step")

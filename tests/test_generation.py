@@ -57,6 +57,17 @@ def test_plans(spark, monkeypatch, chunk):
         assert all(r.shrunk == (r["count"] < r.want) and r.max_output_tokens <= 20000 for r in plan)
 
 
+def test_requests_of_equal_sizes_stand_together(spark):
+    jobs = [(j, 100, 5 + j % 2, 100 + j % 3) for j in range(300)]
+    df = spark.createDataFrame(jobs, "job_id BIGINT, total BIGINT, batch_size BIGINT, tokens BIGINT")
+    spread = req.plan_requests(df).select(F.spark_partition_id().alias("p"), "tokens", "want").where("want > 4")
+    kinds = spread.distinct().groupBy("p").count().collect()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 1 < len(kinds) <= tasks
+    # Six sizes in one order: a task's first may be the last of the task before.
+    assert sum(k["count"] for k in kinds) <= len(kinds) + 6 - 1
+
+
 def test_batch_ids_can_continue(spark):
     df = spark.createDataFrame([(1, 25, 10, 200, 7)], "job_id BIGINT, total BIGINT, batch_size BIGINT, tokens BIGINT, f BIGINT")
     assert [r.batch_id for r in req.plan_requests(df, first_batch="f").orderBy("batch_id").collect()] == [7, 8, 9]
