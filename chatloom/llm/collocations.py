@@ -38,7 +38,7 @@ from chatloom.llm.common import materialize
 
 MIN_COUNT, MOST_WORDS, TOP = 100, 5, 2000
 TRIE_PHRASES = 500_000
-SUM_ROWS = 4_000_000
+SUM_ROWS = 2_000_000
 WINDOW = 4096  # places of a double array that are tried at once
 BREAK = b"."
 # A-Z lower-cased, a tab a blank, every byte that ends a piece the break.
@@ -155,9 +155,11 @@ def encoded(docs: DataFrame, lang: str, text: str, min_count: int) -> tuple[Data
                 # One 0 is enough between words that no phrase joins.
                 keep = np.ones(len(sequence), bool)
                 keep[1:] = (sequence[1:] != 0) | (sequence[:-1] != 0)
-                yield pa.RecordBatch.from_pydict({"sequence": pa.array([B.packed(sequence[keep])], pa.binary())})
+                sequence = sequence[keep]
+                columns = [pa.array([B.packed(sequence)], pa.binary()), pa.array([len(sequence)], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["sequence", "places"])
 
-    sequences = materialize(rows.mapInArrow(run, "sequence binary"), "sequences")
+    sequences = materialize(rows.mapInArrow(run, "sequence binary, places long"), "sequences")
     return sequences, frequent, totals
 
 
@@ -276,9 +278,10 @@ def walked(sequences: DataFrame, blobs: dict[str, bytes], size: int, longer: boo
 
 def phrase_counts(sequences: DataFrame, min_count: int, most_words: int, trie_phrases: int) -> DataFrame:
     """``(words, f)`` of every phrase of 2 to ``most_words`` frequent words that is frequent."""
-    # A packed word takes a byte at least.
-    size = sequences.agg(F.sum(F.octet_length("sequence"))).first()[0] or 0
-    parts = max(1, -(-size // SUM_ROWS))
+    # No more keys are summed up than there are places; packed bytes say nothing of them,
+    # as repeated texts pack to next to none.
+    places = sequences.agg(F.sum("places")).first()[0] or 0
+    parts = max(1, -(-places // SUM_ROWS))
     candidates = materialize(pairs(sequences, parts, min_count), "candidates_2")
     counted = None
     for width in range(2, most_words + 1):

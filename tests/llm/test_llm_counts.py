@@ -70,6 +70,16 @@ def test_collocations(spark, docs, trie_phrases):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_sums_are_dealt_by_words_not_by_packed_bytes(spark, monkeypatch):
+    text = " ".join(f"w{k % 50}" for k in range(500))
+    docs = spark.createDataFrame([(i, text, "en") for i in range(40)], "doc_id long, text string, lang string")
+    sent, pairs = [], collocations.pairs
+    monkeypatch.setattr(collocations, "SUM_ROWS", 1000)
+    monkeypatch.setattr(collocations, "pairs", lambda seq, parts, least: sent.append(parts) or pairs(seq, parts, least))
+    got = collocations.collocations(docs, min_count=10).count()
+    assert sent == [-(-40 * 501 // 1000)] and got == len(naive_collocations([(i, text, "en", None) for i in range(40)], 10, 5, 2000))
+
+
 def test_collocations_on_whole_texts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
