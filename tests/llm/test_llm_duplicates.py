@@ -153,6 +153,21 @@ def test_rare_passage_around_a_frequent_notice(spark):
     assert {(least[p], i) for i, p in rare.items() if i != least[p]} <= {(x.match_doc_id, x.doc_id) for x in rows}
 
 
+def test_near_passages_around_a_frequent_notice(spark):
+    """Forty-five words that all share, and thirteen more that pairs have alike but for a word."""
+    r = random.Random(12)
+    notice, pairs = prose(r, 45), [(100 + 2 * p, 101 + 2 * p) for p in range(24)]
+    texts = {i: prose(r, 60) + notice + prose(r, 60) for i in range(40)}
+    for a, b in pairs:
+        # No 50 words are equal: 49 are, then one is not.
+        more = prose(r, 13)
+        texts[a] = prose(r, 60) + notice + more + prose(r, 60)
+        texts[b] = prose(r, 60) + notice + more[:4] + ["changed"] + more[5:] + prose(r, 60)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(5)
+    found = {(x.doc_a, x.doc_b) for x in passages.shared(docs).collect()}
+    assert len(found & set(pairs)) >= 21
+
+
 def passages_of(a, b):
     """What two word lists share, over all places that meet, without Spark."""
     (ka, pa, _), (kb, pb, _) = (passages.window_rows(" ".join(t).encode()) for t in (a, b))
