@@ -201,6 +201,27 @@ def test_cut_passages(spark):
     assert again.count() == 0
 
 
+def test_texts_move_once_for_many_pairs(spark):
+    words = random.Random(7).choices([f"w{i}" for i in range(5000)], k=120)
+    size = 3 * passages.UNIT
+    pairs = [(a, b) for b in range(size) for a in range(b) if (a + b) % 3 == 0 or a == 0]
+    linked = [(a, b, [place], [place]) for a, b in pairs for place in [(50 << 30) | (50 << 14) | 65]]
+    linked = spark.createDataFrame(linked, "a long, b long, a_places array<long>, b_places array<long>")
+    units = passages.pair_units(linked).select("unit", "a", "b").collect()
+    assert sorted((u.a, u.b) for u in units) == sorted(pairs)
+    sent = {(u.unit, d) for u in units for d in (u.a, u.b)}
+    assert len(sent) < len(pairs) / 10
+    held = {}
+    for unit, doc in sent:
+        held[unit] = held.get(unit, 0) + 1
+    assert max(held.values()) < 4 * passages.UNIT
+    docs = [(i, " ".join(words)) for i in range(size)] + [(5, " ".join(words)), (None, "a"), (6, None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = passages.verified(linked, docs, "doc_id", "text").collect()
+    assert sorted((x.doc_a, x.doc_b) for x in rows) == sorted(pairs)
+    assert {(x.first_a, x.last_a, x.first_b, x.last_b, x.similarity) for x in rows} == {(0, 119, 0, 119, 1.0)}
+
+
 def test_every_exact_repeat_is_found(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(4)
