@@ -168,6 +168,29 @@ def test_near_passages_around_a_frequent_notice(spark):
     assert len(found & set(pairs)) >= 21
 
 
+def linked(docs):
+    rows = passages.linked_documents(passages.all_windows(docs, "doc_id", "text"), docs, "doc_id", "text").collect()
+    return {(x.a, x.b) for x in rows}
+
+
+def test_links_of_a_group_grow_with_its_documents(spark):
+    """Near copies hang together by few links; those that share less than a passage have none."""
+    r = random.Random(14)
+    passage, notice, texts = prose(r, 120), prose(r, 36), {}
+    for i in range(60):
+        # One more word, so that copies do not lie over each other.
+        at = r.randint(20, 100)
+        texts[i] = prose(r, r.randint(1, 60)) + passage[:at] + prose(r, 1) + passage[at:] + prose(r, r.randint(1, 60))
+    texts |= {i: prose(r, 150) + notice + prose(r, 150) for i in range(100, 160)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(5)
+    links = linked(docs)
+    assert len([x for x in links if x[1] >= 100]) < 60
+    copies = {x for x in links if x[1] < 60}
+    assert len(copies) < 60 * 8
+    found = passages.shared(docs).select(passages.F.col("doc_a").alias("a"), passages.F.col("doc_b").alias("b"))
+    assert {(x.node, x.label) for x in components.connected_components(found).collect()} == {(i, 0) for i in range(60)}
+
+
 def passages_of(a, b):
     """What two word lists share, over all places that meet, without Spark."""
     (ka, pa, _), (kb, pb, _) = (passages.window_rows(" ".join(t).encode()) for t in (a, b))
