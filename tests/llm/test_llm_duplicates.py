@@ -199,6 +199,34 @@ def passages_of(a, b):
     return passages.shared_passages(*tokens, pa[i], pb[j]) if len(i) else []
 
 
+def test_large_groups_lose_no_words_of_near_passages(spark):
+    """What all pairs of documents share is found, by links of a few of them; also what earlier ones have."""
+    r = random.Random(41)
+    core, lines, texts = prose(r, 50), [prose(r, 24) for _ in range(6)], {}
+    for i in range(60):
+        # A near copy of what all share, between two of some lines.
+        copy = list(core)
+        copy[r.randint(8, 42)] = f"x{i}"
+        texts[i] = prose(r, 30) + lines[r.randint(0, 5)] + copy + lines[r.randint(0, 5)] + prose(r, 30)
+    rows = {i: passages.window_rows(" ".join(t).encode()) for i, t in texts.items()}
+    tokens = {i: passages.shingles_of(passages.words_of(" ".join(t).encode())[2]) for i, t in texts.items()}
+    held, later = set(), set()
+    for b in texts:
+        for a in range(b):
+            i, j = np.nonzero(rows[a][0][:, None] == rows[b][0])
+            if len(set(passages.unpacked(rows[b][1][j])[1].tolist())) < passages.LEAST_FUNCTIONS:
+                continue
+            for q in passages.shared_passages(tokens[a], tokens[b], rows[a][1][i], rows[b][1][j]):
+                held |= {(a, k) for k in range(q[0], q[1] + passages.SHINGLE)}
+                later |= {(b, k) for k in range(q[2], q[3] + passages.SHINGLE)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(4)
+    found = passages.shared(docs).collect()
+    of_b = {(x.doc_b, k) for x in found for k in range(x.first_b, x.last_b + 1)}
+    of_a = {(x.doc_a, k) for x in found for k in range(x.first_a, x.last_a + 1)}
+    assert len(held | later) > 5000 and not (held | later) - of_a - of_b
+    assert len(later - of_b) <= 0.005 * len(later)
+
+
 def test_near_passage_whose_slogan_also_stands_elsewhere():
     r, found = random.Random(11), 0
     for _ in range(20):
